@@ -15,9 +15,11 @@ MAX_SPREAD_COLUMNS = 2000
 def flatten_sides(docs: DataFrame, payload: str = "boxScoreAdvanced") -> DataFrame:
     """One row per player, home side first, with the team fields copied down.
 
-    Output: the other columns of ``docs``, ``side`` (HOME/AWAY), ``team`` and
-    ``player`` (maps of text, so absent and null stay apart), ``_row_pos``.
-    A document without payload, side or players gives no rows.
+    Output: the other columns of ``docs``, ``side`` (HOME/AWAY), ``team``,
+    ``player`` and ``statistics`` (maps of text, so absent and null stay apart)
+    and ``_row_pos``. A document without payload, side or players gives no rows.
+    All JSON is parsed inside the generators: what a generator puts out is never
+    computed again by a later filter.
     """
     carried = [c for c in docs.columns if c != payload]
     home = F.struct(F.lit("HOME").alias("side"), F.col(f"{payload}.homeTeam").alias("team"))
@@ -25,13 +27,22 @@ def flatten_sides(docs: DataFrame, payload: str = "boxScoreAdvanced") -> DataFra
     sides = docs.where(F.col(payload).isNotNull()).select(
         *carried, F.posexplode(F.array(home, away)).alias("_side_pos", "_side")
     )
-    players = F.from_json(F.col("_side.team")["players"], schemas.PLAYER_LIST)
+    players = F.transform(
+        F.from_json(F.col("_side.team")["players"], schemas.PLAYER_LIST),
+        lambda p: F.struct(
+            p.alias("player"),
+            F.coalesce(
+                F.from_json(p["statistics"], schemas.STATISTICS),
+                F.create_map().cast(schemas.STATISTICS),
+            ).alias("statistics"),
+        ),
+    )
     return sides.select(
-        *carried, "_side_pos", F.col("_side.side").alias("side"),
-        F.map_filter("_side.team", lambda k, _: k != "players").alias("team"),
-        F.posexplode(players).alias("_player_pos", "player"),
+        *carried, "_side_pos", F.col("_side.side").alias("side"), F.col("_side.team").alias("team"),
+        F.posexplode(players).alias("_player_pos", "_player"),
     ).select(
-        *carried, "side", "team", "player",
+        *carried, "side", F.map_filter("team", lambda k, _: k != "players").alias("team"),
+        "_player.player", "_player.statistics",
         # Home players come first whatever their number.
         (F.col("_side_pos") * F.lit(1 << 20) + F.col("_player_pos")).alias("_row_pos"),
     )
@@ -41,7 +52,7 @@ def literal_side(condition: Column, when_true: str = "HOME", otherwise: str = "A
     return F.when(condition, when_true).otherwise(otherwise)
 
 
-def player_columns(statistics: str = "_statistics") -> dict[str, Column]:
+def player_columns(statistics: str = "statistics") -> dict[str, Column]:
     """Base columns of a flattened player; a statistic of the same name replaces one."""
     base = {
         out: F.col("player")[field] if out == "PERSON_ID" else get_or_default("player", field)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courtlake import schemas
-from courtlake.sources.documents import skip_no_game_days
+from courtlake.sources.documents import document_keys, skip_no_game_days
 from courtlake.sources.files import child_names
 
 # A manifest longer than this is written as several numbered parts, so no task
@@ -79,6 +79,18 @@ def missing_documents(entries: DataFrame, present: DataFrame,
     return wanted.join(present.select("game_id", "dataset"), ["game_id", "dataset"], "left_anti")
 
 
+def present_documents(spark: SparkSession, bronze_root: str,
+                      datasets: list[str] = schemas.DATASETS) -> DataFrame:
+    """(game_id, dataset) of every raw document of a lake."""
+    found = None
+    for dataset in datasets:
+        keys = document_keys(spark, f"{bronze_root}/{dataset}").select(
+            F.col("file_key").alias("game_id"), F.lit(dataset).alias("dataset")
+        )
+        found = keys if found is None else found.unionByName(keys)
+    return found
+
+
 def first_n(df: DataFrame, order: str, n: int = 30) -> DataFrame:
     """The first n rows in order (a top-n, not a full sort)."""
     return df.orderBy(order).limit(n)

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from courtlake.functions.dates import date_range
 from courtlake.operators import report, worklist
-from courtlake.operators.contracts import validation_report
+from courtlake.operators.contracts import empty_report, validation_report
 from courtlake.operators.store import GoldStore, scan_gold
 from courtlake.plans.gold import load_dimensions, load_facts, load_team_stats
 from courtlake.plans.silver import (
-    build_dims_silver, build_silver, scan_raw, validate_silver, write_silver,
+    build_dims_silver, build_silver, scan_dims, scan_raw, validate_silver, write_silver,
 )
 from courtlake.schemas import DATASETS, DIMENSIONS, FACTS
 from courtlake.sources.documents import (
@@ -18,6 +21,13 @@ from courtlake.sources.documents import (
 )
 from courtlake.sources.tables import only_dates, scan_dim, scan_silver
 
+DocumentsOf = Callable[[SparkSession, DataFrame], dict[str, DataFrame]]
+
+
+def lake_documents(bronze_root: str) -> DocumentsOf:
+    """Documents of listed games from the folders of a raw lake."""
+    return lambda spark, entries: scan_raw(spark, bronze_root, entries)
+
 
 def process_dates(spark: SparkSession, entries: DataFrame, docs: dict[str, DataFrame],
                   silver_root: str, store: GoldStore) -> tuple[DataFrame, DataFrame]:
@@ -46,33 +56,36 @@ def silver_of_dates(spark: SparkSession, silver_root: str, entries: DataFrame) -
     }
 
 
-def process_date(spark: SparkSession, bronze_root: str, silver_root: str, store: GoldStore,
-                 day: str) -> tuple[DataFrame, DataFrame] | None:
+def process_date(spark: SparkSession, manifests: DataFrame, documents_of: DocumentsOf,
+                 silver_root: str, store: GoldStore, day) -> tuple[DataFrame, DataFrame] | None:
     """One date; without a manifest it fails, without games there is nothing to do."""
     wanted = spark.range(1).select(F.lit(day).cast("date").alias("game_date"))
-    manifests = scan_manifests(spark, f"{bronze_root}/manifests")
     entries = manifest_entries(skip_no_game_days(require_manifests(wanted, manifests)))
     if entries.isEmpty():
         return None
-    return process_dates(spark, entries, scan_raw(spark, bronze_root, entries), silver_root, store)
+    return process_dates(spark, entries, documents_of(spark, entries), silver_root, store)
 
 
-def refresh_dimensions(spark: SparkSession, bronze_root: str, silver_root: str,
-                       store: GoldStore, day: str | None = None) -> DataFrame:
-    """All dimensions and the team fact, then one date's facts; returns contract results.
+def refresh_dimensions(spark: SparkSession, player_items: DataFrame, team_docs: DataFrame,
+                       silver_root: str, store: GoldStore) -> tuple[DataFrame, DataFrame]:
+    """All dimensions and the team fact; returns (contract results, load counts).
 
     Dimensions come first, because facts are checked against them.
     """
-    results = build_dims_silver(spark, bronze_root, silver_root)
+    results = build_dims_silver(spark, player_items, team_docs, silver_root)
     players = scan_dim(spark, f"{silver_root}/players")
     team_games = scan_dim(spark, f"{silver_root}/teams")
-    load_dimensions(store, players, team_games)
-    load_team_stats(store, team_games)
-    if day is not None:
-        loaded = process_date(spark, bronze_root, silver_root, store, day)
-        if loaded is not None:
-            results = results.unionByName(loaded[0])
-    return results
+    counts = load_dimensions(store, players, team_games)
+    return results, counts.unionByName(load_team_stats(store, team_games))
+
+
+def refresh_lake(spark: SparkSession, bronze_root: str, silver_root: str, store: GoldStore,
+                 day: str) -> DataFrame:
+    """The weekly job on a raw lake: dimensions, team fact, then one date's facts."""
+    results, _ = refresh_dimensions(spark, *scan_dims(spark, bronze_root), silver_root, store)
+    manifests = scan_manifests(spark, f"{bronze_root}/manifests")
+    loaded = process_date(spark, manifests, lake_documents(bronze_root), silver_root, store, day)
+    return results if loaded is None else results.unionByName(loaded[0])
 
 
 def plan_backfill(dates: DataFrame, manifests: DataFrame, written: DataFrame,
@@ -92,36 +105,47 @@ def plan_backfill(dates: DataFrame, manifests: DataFrame, written: DataFrame,
     )
 
 
-def backfill(spark: SparkSession, bronze_root: str, silver_root: str, store: GoldStore,
-             dates: DataFrame, force: bool = False, load_dims: bool = False,
-             ) -> tuple[DataFrame, DataFrame]:
-    """All pending dates of a range in one batch; returns (summary, validation report).
+def backfill(spark: SparkSession, manifests: DataFrame, documents_of: DocumentsOf,
+             silver_root: str, store: GoldStore, dates: DataFrame, force: bool = False,
+             ) -> tuple[DataFrame, DataFrame | None]:
+    """All pending dates of a range in one batch; returns (summary, contract results).
 
-    ``load_dims`` loads players and teams first, but not games or the team fact.
+    The results are None when no pending date has games.
     """
-    manifests = scan_manifests(spark, f"{bronze_root}/manifests")
-    written = worklist.silver_dates(spark, silver_root)
+    statuses = plan_backfill(dates, manifests, worklist.silver_dates(spark, silver_root), force)
+    work = manifests.join(
+        statuses.where("status = 'processed'").select("game_date"), "game_date", "left_semi"
+    )
+    entries = manifest_entries(skip_no_game_days(work))
     results = None
+    if not entries.isEmpty():
+        results, _ = process_dates(
+            spark, entries, documents_of(spark, entries), silver_root, store
+        )
+    return worklist.backfill_summary(statuses), results
+
+
+def backfill_lake(spark: SparkSession, bronze_root: str, silver_root: str, store: GoldStore,
+                  start: str, end: str, force: bool = False, load_dims: bool = False,
+                  ) -> tuple[DataFrame, DataFrame]:
+    """Backfill of a raw lake; returns (summary, validation report).
+
+    ``load_dims`` loads players and teams first, but not games or the team fact.
+    """
+    checked = []
     if load_dims:
-        results = build_dims_silver(spark, bronze_root, silver_root)
+        checked.append(build_dims_silver(spark, *scan_dims(spark, bronze_root), silver_root))
         load_dimensions(
             store, scan_dim(spark, f"{silver_root}/players"),
             scan_dim(spark, f"{silver_root}/teams"), with_games=False,
         )
-    statuses = plan_backfill(dates, manifests, written, force)
-    work = manifests.join(
-        statuses.where("status = 'processed'").select("game_date"), "game_date", "left_semi"
-    )
-    entries = manifest_entries(skip_no_game_days(work))
-    if not entries.isEmpty():
-        docs = scan_raw(spark, bronze_root, entries)
-        checked, _ = process_dates(spark, entries, docs, silver_root, store)
-        results = checked if results is None else results.unionByName(checked)
-    lines = (
-        validation_report(results) if results is not None
-        else spark.createDataFrame([], "source string, seq int, line string")
+    summary, results = backfill(
+        spark, scan_manifests(spark, f"{bronze_root}/manifests"), lake_documents(bronze_root),
+        silver_root, store, date_range(spark, start, end), force,
     )
-    return worklist.backfill_summary(statuses), lines
+    if results is not None:
+        checked.append(results)
+    return summary, validation_report(*checked) if checked else empty_report(spark)
 
 
 def verify(store: GoldStore, dates: DataFrame) -> dict[str, DataFrame]:

@@ -52,20 +52,13 @@ def _any(conditions: list[Column]) -> Column:
 def boxscore_rows(docs: DataFrame) -> DataFrame:
     """One row per player of listed box scores, with ``_bad`` for unusable ids."""
     players = flatten_sides(docs.select("game_id", "game_date", "manifest_pos", "boxScoreAdvanced"))
-    parsed = players.withColumn(
-        "_statistics",
-        F.coalesce(
-            F.from_json(F.col("player")["statistics"], schemas.STATISTICS),
-            F.create_map().cast(schemas.STATISTICS),
-        ),
-    )
-    base = player_columns("_statistics")
+    base = player_columns()
     ids = ("PERSON_ID", "TEAM_ID")
     declared = list(base) + schemas.BOXSCORE_STATISTICS
-    raw = parsed.select(
+    raw = players.select(
         "game_id", *_placed(docs), *[c.alias(n) for n, c in base.items()],
-        *[F.col("_statistics")[s].alias(s) for s in schemas.BOXSCORE_STATISTICS],
-        extras("_statistics", declared).alias("extras"),
+        *[F.col("statistics")[s].alias(s) for s in schemas.BOXSCORE_STATISTICS],
+        extras("statistics", declared).alias("extras"),
     )
     numeric = [s for s in schemas.BOXSCORE_STATISTICS if s != "minutes"]
     return raw.select(
@@ -224,12 +217,14 @@ def scan_players(spark: SparkSession, bronze_root: str) -> DataFrame:
     )
 
 
-def build_dims_silver(spark: SparkSession, bronze_root: str, silver_root: str) -> DataFrame:
-    """Write the players and team-history tables; returns their contract results."""
-    players = players_table(scan_players(spark, bronze_root))
-    write_dim(players, f"{silver_root}/players")
-    teams, _ = team_games_table(documents.scan_result_sets(spark, f"{bronze_root}/teams"))
-    write_dim(teams, f"{silver_root}/teams")
+def build_dims_silver(spark: SparkSession, player_items: DataFrame, team_docs: DataFrame,
+                      silver_root: str) -> DataFrame:
+    """Write the players and team-history tables; returns their contract results.
+
+    A team history of which no file can be read is an error.
+    """
+    write_dim(players_table(player_items), f"{silver_root}/players")
+    write_dim(team_games_table(team_docs)[0], f"{silver_root}/teams")
     players, teams = (spark.read.parquet(f"{silver_root}/{t}") for t in ("players", "teams"))
     if teams.isEmpty():
         raise ValueError("no team history could be read")
@@ -238,6 +233,14 @@ def build_dims_silver(spark: SparkSession, bronze_root: str, silver_root: str) -
     )
 
 
+def scan_dims(spark: SparkSession, bronze_root: str) -> tuple[DataFrame, DataFrame]:
+    """(player items, team-history documents) of a raw lake."""
+    return (
+        scan_players(spark, bronze_root),
+        documents.scan_result_sets(spark, f"{bronze_root}/teams"),
+    )
+
+
 def scan_raw(spark: SparkSession, bronze_root: str, entries: DataFrame | None = None,
              ) -> dict[str, DataFrame]:
     """Readable documents per dataset below a raw lake.

@@ -51,14 +51,24 @@ def scan_documents(spark: SparkSession, path: str, schema: str,
 
 
 def parse_documents(df: DataFrame, text_column: str, schema: str) -> DataFrame:
-    """Decode a column of JSON text in place of a file scan; malformed text is kept apart."""
+    """Decode a column of JSON text in place of a file scan; malformed text is kept apart.
+
+    The generator keeps a later filter from parsing the text a second time.
+    """
     parsed = F.from_json(
         text_column, f"{schema}, {CORRUPT} string",
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
     )
-    return df.withColumn("_doc", parsed).select(
-        *[F.col(c) for c in df.columns if c != text_column], "_doc.*"
-    )
+    kept = [F.col(c) for c in df.columns if c != text_column]
+    return df.select(*kept, F.inline(F.array(parsed)))
+
+
+def document_keys(spark: SparkSession, path: str) -> DataFrame:
+    """Keys of the documents below ``path``, without opening any."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], "file_key string")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(path)
+    return files.select(key_from_path("path").alias("file_key"))
 
 
 def split_corrupt(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
