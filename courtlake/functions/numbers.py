@@ -34,21 +34,6 @@ def coerce_double(text: ColumnLike) -> Column:
     )
 
 
-def _whole(number: Column) -> Column:
-    """A double as bigint, null unless it is a whole number in range."""
-    in_range = F.abs(number) < F.lit(9223372036854775808.0)  # 2**63
-    return F.when(in_range & (F.rint(number) == number), number.try_cast("bigint"))
-
-
-def is_unsafe_long(text: ColumnLike) -> Column:
-    """True for text that is a number but not a 64-bit integer (``1.5``, ``inf``, ``1e30``)."""
-    c = _col(text)
-    number = coerce_double(c)
-    return F.when(c.try_cast("bigint").isNotNull(), F.lit(False)).otherwise(
-        F.coalesce(~F.isnan(number) & number.isNotNull() & _whole(number).isNull(), F.lit(False))
-    )
-
-
 def coerce_long(text: ColumnLike) -> Column:
     """Integer text to bigint, null when it is not one.
 
@@ -56,8 +41,21 @@ def coerce_long(text: ColumnLike) -> Column:
     not lose it test that flag first (and quarantine or raise).
     """
     c = _col(text)
-    # The first branch keeps all 64 bits; a double has only 53.
-    return F.coalesce(c.try_cast("bigint"), _whole(coerce_double(c)))
+    exact = c.try_cast("decimal(38,18)")
+    return F.coalesce(
+        # Nearly all text ends here; the other forms are "12.0" and "1e2".
+        c.try_cast("bigint"),
+        F.when(exact == F.floor(exact), exact.try_cast("bigint")),
+        F.when(c == "true", 1).when(c == "false", 0).cast("bigint"),
+    )
+
+
+def is_unsafe_long(text: ColumnLike) -> Column:
+    """True for text that is a number but not a 64-bit integer (``1.5``, ``inf``, ``1e30``)."""
+    c = _col(text)
+    # NaN sorts above infinity, so this is true for numbers and infinities only.
+    is_number = F.coalesce(parse_double(c) <= F.lit(float("inf")), F.lit(False))
+    return coerce_long(c).isNull() & is_number
 
 
 def coerce_long_strict(text: ColumnLike) -> Column:

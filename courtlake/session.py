@@ -20,6 +20,8 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
         # no operator of this package forces a broadcast.
         "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
         "spark.sql.session.timeZone": "UTC",
+        # Call sites are looked up once per column expression; the jobs build thousands.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     builder = SparkSession.builder.appName(app_name)

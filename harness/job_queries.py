@@ -86,6 +86,14 @@ def build_dims_silver(spark, sf_dir):
     return teams.unionByName(players, allowMissingColumns=True)
 
 
+def written_dims(spark, sf_dir, root):
+    """(players, team histories) as stored silver tables."""
+    silver.build_dims_silver(
+        spark, raw.player_items(spark, sf_dir), raw.team_documents(spark, sf_dir), root
+    )
+    return tables.scan_dim(spark, f"{root}/players"), tables.scan_dim(spark, f"{root}/teams")
+
+
 # ---- gold ----------------------------------------------------------------
 
 def dimension_union(gold_store):
@@ -113,10 +121,8 @@ UNION ALL SELECT DISTINCT 'teams', team_id::VARCHAR, 'T' || team_id, team_name,
 UNION ALL SELECT DISTINCT 'games', game_id, game_date::VARCHAR, NULL, year(game_date)::INT FROM team_games
 """)
 def load_dimensions(spark, sf_dir):
-    _, gold_store = new_store(spark)
-    players = silver.players_table(raw.player_items(spark, sf_dir))
-    team_games, _ = silver.team_games_table(raw.team_documents(spark, sf_dir))
-    gold.load_dimensions(gold_store, players, team_games)
+    root, gold_store = new_store(spark)
+    gold.load_dimensions(gold_store, *written_dims(spark, sf_dir, root))
     return dimension_union(gold_store)
 
 
@@ -127,8 +133,8 @@ SELECT game_id, team_id::INT AS team_id, 'A vs. B' AS matchup, wl, 240::DECIMAL(
 FROM team_games WHERE st <> 'P'
 """)
 def load_team_stats(spark, sf_dir):
-    _, gold_store = new_store(spark)
-    team_games, _ = silver.team_games_table(raw.team_documents(spark, sf_dir))
+    root, gold_store = new_store(spark)
+    _, team_games = written_dims(spark, sf_dir, root)
     gold.load_dimensions(gold_store, None, team_games, with_games=False)
     # Pending games are not in the dimension, so their rows are dropped.
     known = raw.games(spark, sf_dir).where("st <> 'P'")
