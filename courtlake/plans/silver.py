@@ -49,15 +49,6 @@ def _any(conditions: list[Column]) -> Column:
     return flag
 
 
-def _pinned(df: DataFrame, *columns: str | Column) -> DataFrame:
-    """A projection that is computed once per row.
-
-    Filters on it stay above the generator, instead of being pushed down with a
-    second copy of every expression they refer to.
-    """
-    return df.select(F.inline(F.array(F.struct(*columns))))
-
-
 def boxscore_rows(docs: DataFrame) -> DataFrame:
     """One row per player of listed box scores, with ``_bad`` for unusable ids."""
     players = flatten_sides(docs.select("game_id", "game_date", "manifest_pos", "boxScoreAdvanced"))
@@ -70,8 +61,8 @@ def boxscore_rows(docs: DataFrame) -> DataFrame:
         extras("statistics", declared).alias("extras"),
     )
     numeric = [s for s in schemas.BOXSCORE_STATISTICS if s != "minutes"]
-    return _pinned(
-        raw, *PLACE, F.col("game_id").alias("GAME_ID"),
+    return raw.select(
+        *PLACE, F.col("game_id").alias("GAME_ID"),
         *[coerce_long(n).alias(n) if n in ids else F.col(n) for n in base],
         F.col("minutes"), *[coerce_double(n).alias(n) for n in numeric], "extras",
         _any([is_unsafe_long(n) for n in ids]).alias("_bad"),
@@ -90,8 +81,8 @@ def action_rows(docs: DataFrame) -> DataFrame:
     typed.update({n: coerce_long(n) for n in longs})
     typed["shotDistance"] = coerce_double("shotDistance")
     typed["isFieldGoal"] = truthy_number(coerce_double("isFieldGoal"))
-    return _pinned(
-        raw, *_placed(docs), F.col("game_id").alias("GAME_ID"),
+    return raw.select(
+        *_placed(docs), F.col("game_id").alias("GAME_ID"),
         *[c.alias(n) for n, c in typed.items()],
         clock_seconds("clock").alias("clock_seconds"), "extras",
         _any([is_unsafe_long(n) for n in longs]).alias("_bad"),
@@ -117,8 +108,8 @@ def shot_rows(docs: DataFrame) -> DataFrame:
         n: truthy_number(coerce_double(n)) for n in ("SHOT_ATTEMPTED_FLAG", "SHOT_MADE_FLAG")
     })
     typed[schemas.SHOT_DATE] = parse_date(schemas.SHOT_DATE)
-    return _pinned(
-        raw, *PLACE, F.col("game_id").alias("GAME_ID"), *[c.alias(n) for n, c in typed.items()],
+    return raw.select(
+        *PLACE, F.col("game_id").alias("GAME_ID"), *[c.alias(n) for n, c in typed.items()],
         "extras", _any([F.col("_misfit"), *[is_unsafe_long(n) for n in longs]]).alias("_bad"),
     )
 
@@ -204,8 +195,8 @@ def team_games_table(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         *schemas.TEAM_PERCENT_FIELDS,
     ]
     # The many counts share one expression, applied to them as an array.
-    texts = _pinned(
-        rows, "file_key", "_row_pos", *[F.col("row")[h].alias(h) for h in headers],
+    texts = rows.select(
+        "file_key", "_row_pos", *[F.col("row")[h].alias(h) for h in headers],
         F.array(*[F.col("row")[c] for c in counts]).alias("_texts"),
         F.col("row").isNull().alias("_misfit"),
     )
@@ -214,8 +205,8 @@ def team_games_table(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.exists("_texts", is_unsafe_long),
     ])
     good, failed_files = drop_failed_files(texts, "file_key", failed)
-    typed = _pinned(
-        good, F.col("TEAM_ID").cast("int").cast("bigint").alias("TEAM_ID"),
+    typed = good.select(
+        F.col("TEAM_ID").cast("int").cast("bigint").alias("TEAM_ID"),
         *schemas.TEAM_TEXT_FIELDS, parse_date_lenient("GAME_DATE").alias("GAME_DATE"),
         *[coerce_double(c).alias(c) for c in ("PLUS_MINUS", *schemas.TEAM_PERCENT_FIELDS)],
         F.transform("_texts", coerce_long).alias("_counts"),

@@ -20,6 +20,9 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
         # no operator of this package forces a broadcast.
         "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
         "spark.sql.session.timeZone": "UTC",
+        # Wide typed projections make methods the JVM would not compile; beyond its
+        # limit of 8000 bytes Spark then splits them instead.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         # Call sites are looked up once per column expression; the jobs build thousands.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,

@@ -204,10 +204,10 @@ UNION ALL SELECT 'teams', team_id::VARCHAR, tricode, tricode, NULL FROM first_t
 UNION ALL SELECT 'games', game_id, game_date::VARCHAR, NULL, season FROM season_g WHERE st <> 'P'
 """)
 def load_stubs(spark, sf_dir):
-    _, gold_store = new_store(spark)
+    root, gold_store = new_store(spark)
     docs = {"boxscores": raw.documents(spark, sf_dir, "boxscores")}
-    built = silver.build_silver(raw.entries(spark, sf_dir), docs)
-    gold.load_facts(spark, gold_store, built.rows)
+    silver.write_silver(silver.build_silver(raw.entries(spark, sf_dir), docs), root)
+    gold.load_facts(spark, gold_store, {"boxscores": tables.scan_silver(spark, root, "boxscores")})
     return dimension_union(gold_store)
 
 
@@ -228,8 +228,9 @@ def _span(spark, sf_dir):
 
 
 @query("backfill", f"""
-WITH {FACTS_SQL}, last AS (SELECT max(game_date) AS d FROM g)
-SELECT {FACT_COLUMNS}, (SELECT count(DISTINCT game_date) FROM g)::BIGINT AS processed FROM facts
+WITH {FACTS_SQL},
+d AS (SELECT game_date, count(*) FILTER (WHERE st <> 'P') AS n FROM g GROUP BY ALL)
+SELECT {FACT_COLUMNS}, (SELECT count(*) + count(*) FILTER (WHERE n = 0) FROM d)::BIGINT AS processed FROM facts
 """)
 def backfill(spark, sf_dir):
     root, gold_store = new_store(spark)
@@ -238,7 +239,8 @@ def backfill(spark, sf_dir):
         _span(spark, sf_dir),
     )
     processed = summary.first().processed
-    # Every date is done now: the second run skips them all.
+    # The second run skips all dates but those without any box score, which count
+    # as open until one arrives.
     again, _ = jobs.backfill(
         spark, raw.manifests(spark, sf_dir), documents_of(spark, sf_dir), root, gold_store,
         _span(spark, sf_dir),

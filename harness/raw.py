@@ -51,8 +51,16 @@ players_of AS (
 )"""
 
 
+def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """A table of fewer splits than cores over all cores; a larger one as it is."""
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def games(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders")
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority"
+    )
     return orders.select(
         F.lpad(F.col("o_orderkey").cast("string"), 10, "0").alias("game_id"),
         F.trunc("o_orderdate", "MM").alias("game_date"),
@@ -74,7 +82,7 @@ def boxscore_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     second time with other numbers; the away side lacks its code and ends with a
     player whose id is a fraction.
     """
-    g = games(spark, sf_dir)
+    g = spread(spark, games(spark, sf_dir))
     k, c = F.col("k"), F.col("c")
     family = F.when(F.col("st") == "O", "").when(F.col("st") == "F", ',"familyName":null')
     first = F.format_string(
@@ -109,7 +117,7 @@ def action_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     A game of status O with priority 5-LOW has an empty list.
     """
-    g = games(spark, sf_dir)
+    g = spread(spark, games(spark, sf_dir))
     k, c = F.col("k"), F.col("c")
     start = F.lit(
         '{"actionNumber":1,"clock":"PT12M00.00S","period":1,"teamId":0,"personId":0,'
@@ -138,7 +146,7 @@ def shot_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     The first shot belongs to the home side's first player, the second to a
     player of the next customer, who may first appear on a later date or never.
     """
-    g = games(spark, sf_dir)
+    g = spread(spark, games(spark, sf_dir))
     k, c = F.col("k"), F.col("c")
     headers = (
         '["GRID_TYPE","GAME_ID","GAME_EVENT_ID","PLAYER_ID","TEAM_ID","PERIOD",'
