@@ -34,20 +34,13 @@ def scan_documents(spark: SparkSession, path: str, schema: str,
 
     ``only`` names wanted keys; other files are then pruned before they are read.
     """
-    full = f"{schema}, {CORRUPT} string"
     if not path_exists(spark, path):
-        return spark.createDataFrame([], f"file_key string, {full}")
-    docs = (
-        spark.read.schema(full)
-        .option("multiLine", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("pathGlobFilter", "*.json")
-        .json(path)
-    )
+        return spark.createDataFrame([], f"file_key string, {schema}, {CORRUPT} string")
+    files = spark.read.option("pathGlobFilter", "*.json").text(path, wholetext=True)
     if only is not None:
-        docs = docs.where(F.col("_metadata.file_name").isin([f"{key}.json" for key in only]))
-    return docs.select(key_from_path("_metadata.file_name").alias("file_key"), "*")
+        files = files.where(F.col("_metadata.file_name").isin([f"{key}.json" for key in only]))
+    keyed = files.select(key_from_path("_metadata.file_name").alias("file_key"), "value")
+    return parse_documents(keyed, "value", schema)
 
 
 def parse_documents(df: DataFrame, text_column: str, schema: str) -> DataFrame:
@@ -55,8 +48,10 @@ def parse_documents(df: DataFrame, text_column: str, schema: str) -> DataFrame:
 
     The generator keeps a later filter from parsing the text a second time.
     """
+    # Empty text would parse to nothing; a lone brace is malformed, as it should be.
+    text = F.when(F.length(F.trim(text_column)) > 0, F.col(text_column)).otherwise("{")
     parsed = F.from_json(
-        text_column, f"{schema}, {CORRUPT} string",
+        text, f"{schema}, {CORRUPT} string",
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
     )
     kept = [F.col(c) for c in df.columns if c != text_column]
@@ -134,14 +129,12 @@ def manifest_entries(manifests: DataFrame, part_size: int | None = None) -> Data
 
 
 def require_manifests(dates: DataFrame, manifests: DataFrame) -> DataFrame:
-    """Manifests of the wanted dates; a date without one fails the query."""
-    message = F.concat(F.lit("no manifest for "), F.col("game_date").cast("string"))
-    found = manifests.withColumn("_found", F.lit(True))
-    joined = dates.select("game_date").distinct().join(found, "game_date", "left")
-    checked = F.when(
-        F.col("_found").isNull(), F.raise_error(message).cast("date")
-    ).otherwise(F.col("game_date"))
-    return joined.withColumn("game_date", checked).drop("_found")
+    """Manifests of the wanted dates; a date without one is an error at once."""
+    wanted = dates.select("game_date").distinct()
+    missing = wanted.join(manifests, "game_date", "left_anti").orderBy("game_date").limit(5).collect()
+    if missing:
+        raise FileNotFoundError("no manifest for " + ", ".join(str(r.game_date) for r in missing))
+    return manifests.join(wanted, "game_date", "left_semi")
 
 
 # ---- one scan per document kind ------------------------------------------
