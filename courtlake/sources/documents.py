@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
 from courtlake import schemas
-from courtlake.functions.text import key_from_path, or_empty
+from courtlake.functions.text import WHITE_SPACE, key_from_path, or_empty
 from courtlake.sources.files import path_exists
 
 CORRUPT = "_corrupt_record"
@@ -48,8 +48,9 @@ def parse_documents(df: DataFrame, text_column: str, schema: str) -> DataFrame:
 
     The generator keeps a later filter from parsing the text a second time.
     """
-    # Empty text would parse to nothing; a lone brace is malformed, as it should be.
-    text = F.when(F.length(F.trim(text_column)) > 0, F.col(text_column)).otherwise("{")
+    # Blank text would parse to nothing; a lone brace is malformed, as it should be.
+    blank = F.length(F.btrim(F.col(text_column), F.lit(WHITE_SPACE))) == 0
+    text = F.when(blank, "{").otherwise(F.col(text_column))
     parsed = F.from_json(
         text, f"{schema}, {CORRUPT} string",
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
