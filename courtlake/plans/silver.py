@@ -21,7 +21,7 @@ from courtlake.operators.flatten import flatten_sides, open_columns, player_colu
 from courtlake.operators.sinks import write_dim, write_partitioned
 from courtlake.schemas import CONTRACT_SOURCES, CONTRACTS, DATASETS, SILVER, SILVER_KEYS
 from courtlake.sources import documents
-from courtlake.sources.documents import drop_failed_files, listed_documents
+from courtlake.sources.documents import drop_failed_files, listed_games, on_list
 from courtlake.sources.resultset import decode_resultset
 
 PLACE = ["season", "game_date", "_manifest_pos", "_row_pos"]
@@ -125,10 +125,11 @@ def build_silver(entries: DataFrame, docs: dict[str, DataFrame], strict: bool =
     fails the query when ``strict``. The first row of a key within a game wins.
     """
     rows, quarantine = {}, {}
+    listed = listed_games(entries)
     for dataset, convert in CONVERTERS.items():
         if dataset not in docs:
             continue
-        converted = convert(listed_documents(docs[dataset], entries))
+        converted = convert(on_list(docs[dataset], listed))
         quarantine[dataset] = converted.where("_bad").drop("_bad")
         if strict:
             message = F.concat(F.lit(f"{dataset}: an id of this game is no integer: "), "GAME_ID")

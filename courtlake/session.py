@@ -16,8 +16,8 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        # Spark itself checks sizes against this before it broadcasts a side;
-        # no operator of this package forces a broadcast.
+        # Spark checks sizes against this before it broadcasts a side. The one
+        # broadcast this package asks for is a work list it has measured.
         "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
         "spark.sql.session.timeZone": "UTC",
         # Wide typed projections make methods the JVM would not compile; beyond its

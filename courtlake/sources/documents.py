@@ -172,12 +172,32 @@ def parse_json_array(df: DataFrame, text_column: str, schema: str) -> DataFrame:
     )
 
 
-def listed_documents(docs: DataFrame, entries: DataFrame) -> DataFrame:
-    """Documents whose key is on a manifest, with date and list position.
+# Work lists up to this many bytes are sent to every task; larger ones are shuffled.
+SMALL_LIST_BYTES = 32 * 1024 * 1024
 
-    Ids without a document vanish, as do documents nobody lists.
+
+def listed_games(entries: DataFrame) -> DataFrame:
+    """The work list as the small side of a join: one row per date and game.
+
+    Left alone, Spark may take the documents for the smaller side, as it does not
+    know how far they expand. So the list is measured: a small one is broadcast, a
+    larger one is hashed per shuffle partition. Either way the documents stream.
     """
     listed = entries.groupBy("game_date", "game_id").agg(
         F.min("manifest_pos").alias("manifest_pos")
     )
+    size = entries.agg(F.sum(F.octet_length("game_id") + F.lit(32))).first()[0] or 0
+    return F.broadcast(listed) if size <= SMALL_LIST_BYTES else listed.hint("shuffle_hash")
+
+
+def listed_documents(docs: DataFrame, entries: DataFrame) -> DataFrame:
+    """Documents whose key is on a manifest, with date and list position.
+
+    Ids without a document vanish, as do documents nobody lists.
+    """
+    return on_list(docs, listed_games(entries))
+
+
+def on_list(docs: DataFrame, listed: DataFrame) -> DataFrame:
+    """As :func:`listed_documents`, for a list prepared by :func:`listed_games`."""
     return docs.withColumnRenamed("file_key", "game_id").join(listed, "game_id")
