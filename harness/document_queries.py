@@ -138,7 +138,7 @@ def scan_actions_doc(spark, sf_dir):
 
 def _line_sets(spark, sf_dir):
     """A result-set document per line item, three amounts in the first set."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = raw.spread(spark, table(spark, sf_dir, "lineitem"))
     key, line = F.col("l_orderkey"), F.col("l_linenumber")
 
     def row(kind: str, amount: str):
