@@ -36,7 +36,7 @@ def ids_and_bytes(docs: DataFrame) -> DataFrame:
 
 
 def text_slices(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """The batches in slices of about ``TEXT_BYTES``, each with its texts as bytes."""
+    """The batches in slices of about ``TEXT_BYTES``, each with its texts as bytes, null as empty."""
     for batch in batches:
         texts = batch.column("text")
         start, size = 0, 0
@@ -44,7 +44,8 @@ def text_slices(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBa
             size += len(texts[i].as_buffer()) if texts[i].is_valid else 0
             if size >= TEXT_BYTES or i - start + 1 >= OUT_ROWS or i + 1 == batch.num_rows:
                 part = batch.slice(start, i + 1 - start)
-                yield part, part.column("text").to_pylist()
+                found = part.column("text").cast(pa.binary()).to_pylist()
+                yield part, [t or b"" for t in found]
                 start, size = i + 1, 0
 
 

@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from courtlake.llm import simhash
+from courtlake.llm import quality, simhash
 from courtlake.llm.common import documents
+from courtlake.llm.packing import pack
+from courtlake.llm.repetition import repetition
+from courtlake.llm.token_file import token_digests, write_tokens
+from courtlake.session import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -23,3 +29,31 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_groups(spark, documents(spark, sf_dir), simhash.TWO_BITS)
     return found.select(
         "doc_id", simhash.fingerprint_hex(found.sketch).alias("fingerprint"), "component_id")
+
+
+@query
+def op5_orc_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_dir(spark, "op5")
+    write_tokens(documents(spark, sf_dir), path, public_tokenizers.path("word_bpe_49k.json"),
+                 keeps_space=False, end_id=2)
+    return token_digests(spark, path)
+
+
+@query
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(spark, documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"),
+                keeps_space=True, end_id=2, capacity=1024, with_ids=False)
+
+
+@query
+def op9_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.score(docs, model).select(
+        "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score",
+        F.when(F.col("score") >= quality.THRESHOLD, 1).otherwise(0).alias("predicted"))
+
+
+@query
+def op10_suffix_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition(documents(spark, sf_dir))
