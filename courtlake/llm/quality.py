@@ -62,7 +62,8 @@ def _labelled(docs: DataFrame, sample: list, part: int) -> DataFrame:
         sorted({(r.labelled, r.label) for r in sample if r.part == part}) or [(None, None)],
         "labelled long, label long")
     # At most 4 * ROWS rows of two numbers.
-    rows = docs.join(F.broadcast(wanted), F.col("doc_id").cast("long") == F.col("labelled"))
+    rows = docs.select("doc_id", "text").join(
+        F.broadcast(wanted), F.col("doc_id").cast("long") == F.col("labelled"))
     return rows.select(F.col("label").alias("doc_id"), "text")
 
 

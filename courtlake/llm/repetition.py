@@ -35,7 +35,7 @@ class Rules:
     min_words: int = 50
     max_repeat_percent: int = 50
     repeat_words: int = 10
-    max_covered: float = 0.3
+    max_covered: float = 0.5
     max_longest: int = 100
 
 
