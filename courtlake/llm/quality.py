@@ -163,3 +163,18 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     z = constant + by_difference * F.col("difference") + by_size * F.col("size")
     return _sized(ids_and_bytes(docs), model.good, model.bad).select(
         "doc_id", (1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), z))))).alias("score"))
+
+
+def keep_good(docs: DataFrame, model: Model, least: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` with this score or more, all columns kept; each row is judged by itself."""
+    if not model.weights:
+        return docs.where(F.lit(model.share >= least))
+    constant, by_difference, by_size = model.weights
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in text_slices(batches):
+            found = np.array([sizes(t, model.good, model.bad) for t in texts])
+            z = constant + found @ (by_difference, by_size)
+            yield part.filter(pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))) >= least))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -8,11 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtlake.llm import quality, simhash
+from courtlake.llm import decontaminate, masked_lm, quality, simhash, surrogates
 from courtlake.llm.common import documents
+from courtlake.llm.line_dedup import dedup_lines
 from courtlake.llm.packing import pack
 from courtlake.llm.repetition import repetition
 from courtlake.llm.token_file import token_digests, write_tokens
+from courtlake.llm.warc import look_up, write_archive
 from courtlake.session import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +59,68 @@ def op9_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_suffix_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition(documents(spark, sf_dir))
+
+
+@query
+def op1_warc_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    archive = write_archive(spark, pages, shared_dir(spark, "op1"), min_bytes=0)
+    return look_up(spark, archive, pages.select("url")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+ORACLES["op1_warc_capture_index"] = f"""
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS h FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS original FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('{_BASE32}', CAST(1 + (
+    CAST('0x' || substr(h, CAST(i // 4 * 5 + 1 AS BIGINT), 5) AS BIGINT) >> (15 - 5 * (i % 4))) % 32 AS BIGINT), 1)), '')
+    AS payload_digest,
+  CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> original THEN original END AS refers_to
+FROM f
+"""
+
+
+@query
+def op2_cuckoo_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = dedup_lines(spark, documents(spark, sf_dir).select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped",
+                       F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
+ORACLES["op2_cuckoo_line_dedup"] = """
+WITH l AS (
+  SELECT doc_id, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i,
+    unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents),
+k AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+r AS (
+  SELECT key, max(doc_id) AS last_doc FROM k WHERE length(key) >= 40
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+m AS (SELECT k.doc_id, i, line, coalesce(k.doc_id <> last_doc, false) AS dropped FROM k LEFT JOIN r USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT dropped), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+"""
+
+
+@query
+def op4_masked_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return masked_lm.score(docs, *masked_lm.train(spark, docs))
+
+
+@query
+def op8_bm25_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(
+        spark, documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@query
+def op6_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return surrogates.replace_entities(spark, docs, key="op6")
