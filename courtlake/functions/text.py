@@ -27,8 +27,8 @@ def strip_text(text: ColumnLike, null_text: str | None = None) -> Column:
 
 
 def key_from_path(path: ColumnLike) -> Column:
-    """Base name of a document path without ``.json``."""
-    return F.replace(F.substring_index(_col(path), "/", -1), F.lit(".json"), F.lit(""))
+    """Base name of a document path without its ending ``.json``."""
+    return F.regexp_replace(F.substring_index(_col(path), "/", -1), r"\.json$", "")
 
 
 def get_or_default(mapping: ColumnLike, key: str, default: str = "") -> Column:

@@ -13,6 +13,13 @@ from pyspark.sql import functions as F
 from courtlake.functions.numbers import coerce_double
 from courtlake.schemas import Contract
 
+# The texts of issues, as reports show them.
+DUPLICATE_TEXT = "DUPLICATE PK: %s rows on {key}"
+MISSING_TEXT = "MISSING COLUMN: {column}"
+NULL_TEXT = "NULL: {column} has %s/%s nulls"
+ROWS_TEXT = "ROW COUNT: %s rows (expected ≥{least})"
+RANGE_TEXT = "RANGE: {column} has %s values {side} {bound}"
+
 
 def _numeric(df: DataFrame, column: str) -> Column:
     """The column as a double without NaN; text that is no number counts as missing."""
@@ -53,11 +60,12 @@ def conditional_counts(df: DataFrame, conditions: dict[str, Column],
 
 
 def check_contract(df: DataFrame, contract: Contract, source: str,
-                   group: str | None = None) -> DataFrame:
+                   group: str | None = None, within: tuple[str, ...] = ()) -> DataFrame:
     """Contract results as (source, n_total, checks), one row per group.
 
     ``source`` names the dataset; with ``group`` each value of that column is a
-    dataset of its own called ``source/value``. ``checks`` lists every check with
+    dataset of its own called ``source/value``, and apart for each value of the
+    columns ``within``. ``checks`` lists every check with
     its number of offending rows; zero means passed. Not-null columns that do not
     exist are reported, range columns that do not exist are ignored.
     """
@@ -69,22 +77,21 @@ def check_contract(df: DataFrame, contract: Contract, source: str,
         key = list(contract.primary_key)
         aggregates.append(F.count_distinct(F.struct(*key)).alias("_keys"))
         repeated = F.col("_total") - F.col("_keys")
-        text = F.concat(F.lit("DUPLICATE PK: "), repeated, F.lit(f" rows on {key}"))
+        text = F.format_string(DUPLICATE_TEXT.format(key=key), repeated)
         checks.append(("pk_unique", ",".join(key), repeated, nothing, text))
     for i, column in enumerate(contract.not_null):
         if column not in df.columns:
-            text = F.lit(f"MISSING COLUMN: {column}")
+            text = F.lit(MISSING_TEXT.format(column=column))
             checks.append(("missing_column", column, F.lit(1).cast("bigint"), nothing, text))
             continue
         name = f"_null_{i}"
         aggregates.append(F.count_if(_is_missing(df, column)).alias(name))
-        text = F.concat(F.lit(f"NULL: {column} has "), F.col(name), F.lit("/"), F.col("_total"),
-                        F.lit(" nulls"))
+        text = F.format_string(NULL_TEXT.format(column=column), F.col(name), F.col("_total"))
         checks.append(("not_null", column, F.col(name), nothing, text))
     if contract.min_rows is not None:
         least = contract.min_rows
         short = F.when(F.col("_total") < least, F.lit(least) - F.col("_total")).otherwise(0)
-        text = F.concat(F.lit("ROW COUNT: "), F.col("_total"), F.lit(f" rows (expected ≥{least})"))
+        text = F.format_string(ROWS_TEXT.format(least=least), F.col("_total"))
         checks.append(("min_rows", None, short.cast("bigint"), F.lit(str(least)), text))
     for i, (column, lowest, highest) in enumerate(contract.ranges):
         if column not in df.columns:
@@ -97,11 +104,12 @@ def check_contract(df: DataFrame, contract: Contract, source: str,
                 continue
             name = f"_{side}_{i}"
             aggregates.append(F.count_if(outside).alias(name))
-            text = F.concat(F.lit(f"RANGE: {column} has "), F.col(name),
-                            F.lit(f" values {side} {bound}"))
+            text = F.format_string(
+                RANGE_TEXT.format(column=column, side=side, bound=bound), F.col(name))
             checks.append((f"range_{side}", column, F.col(name), F.lit(str(bound)), text))
 
-    grouped = df.groupBy(*([F.col(group).alias("_group")] if group else [])).agg(*aggregates)
+    by = [F.col(group).alias("_group")] if group else []
+    grouped = df.groupBy(*by, *within).agg(*aggregates)
     label = (
         F.concat_ws("/", F.lit(source), F.coalesce(F.col("_group").cast("string"), F.lit("null")))
         if group else F.lit(source)

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from courtlake.sources.files import file_system, path_exists
+
 
 def write_partitioned(df: DataFrame, path: str, partitions: tuple[str, ...] = ("season", "game_date"),
                       ) -> None:
@@ -25,6 +29,31 @@ def write_dim(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def stage_dim(df: DataFrame, path: str) -> str:
+    """Write a table beside ``path``; nothing reads it before :func:`switch_dim`."""
+    folder, name = path.rsplit("/", 1)
+    staged = f"{folder}/_staging/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(staged)
+    return staged
+
+
+def switch_dim(spark: SparkSession, staged: str, path: str) -> None:
+    """Put a staged table in the place of the old one, which goes last."""
+    fs, source = file_system(spark, staged)
+    _, target = file_system(spark, path)
+    _, aside = file_system(spark, f"{staged}-old")
+    had = path_exists(spark, path)
+    if had and not fs.rename(target, aside):
+        raise OSError(f"could not set {path} aside")
+    if not fs.rename(source, target):
+        if had:
+            fs.rename(aside, target)
+        raise OSError(f"could not move {staged} to {path}")
+    if had:
+        fs.delete(aside, True)
+    spark.catalog.refreshByPath(path)
+
+
 def ordered_layout(df: DataFrame, order: list[str | Column]) -> DataFrame:
     """Rows ranged and sorted by an access path, for tight min/max per file.
 

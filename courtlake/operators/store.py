@@ -24,6 +24,9 @@ from courtlake.schemas import GOLD, GoldTable
 from courtlake.sources.files import child_names, file_system, path_exists
 
 BUCKET = "_bucket"
+# Hidden date of a stored row. Of a dimension row: the date whose box score first
+# brought it, null when a dimension load did. Of a dated fact: the date it is from.
+AS_OF = "_as_of"
 
 
 @dataclass(frozen=True)
@@ -61,18 +64,18 @@ def create_tables(spark: SparkSession, root: str, fact_buckets: int = 64,
     store = GoldStore(spark, root, kept.fact_buckets, kept.dimension_buckets)
     for table, spec in GOLD.items():
         if not path_exists(spark, store.path(table)):
-            empty = spark.createDataFrame([], f"{spec.schema}, {BUCKET} int")
+            empty = spark.createDataFrame([], f"{spec.schema}, {AS_OF} date, {BUCKET} int")
             empty.write.mode("append").partitionBy(BUCKET).parquet(store.path(table))
         _finish_swap(store, table)
     return store
 
 
 def scan_gold(store: GoldStore, table: str) -> DataFrame:
-    return _scan_buckets(store, table).drop(BUCKET)
+    return _scan_buckets(store, table).drop(BUCKET, AS_OF)
 
 
 def _scan_buckets(store: GoldStore, table: str) -> DataFrame:
-    schema = f"{GOLD[table].schema}, {BUCKET} int"
+    schema = f"{GOLD[table].schema}, {AS_OF} date, {BUCKET} int"
     return store.spark.read.schema(schema).parquet(store.path(table))
 
 
@@ -102,36 +105,32 @@ def typed_store(df: DataFrame, table: GoldTable) -> DataFrame:
     return df.select(*columns)
 
 
-def references_of(store: GoldStore, table: str, since: dict[str, DataFrame] | None = None) -> list[Reference]:
+def references_of(store: GoldStore, table: str, dated: bool = False) -> list[Reference]:
     """The references of a table against the stored dimensions.
 
-    ``since`` holds, per dimension, (key, since) of keys that were first seen in
-    the batch being loaded: rows dated before that do not see them yet.
+    ``dated``: the checked rows have a ``game_date``, and do not see a dimension
+    row that only a later date's box score brought.
     """
-    references = []
-    for column, dimension, key in GOLD[table].references:
-        keys = scan_gold(store, dimension).select(key)
-        starts = (since or {}).get(dimension)
-        if starts is not None:
-            keys = keys.join(starts, key, "left")
-        references.append(
-            Reference(column, keys, key, dimension, "since" if starts is not None else None)
-        )
-    return references
+    return [
+        Reference(column, _scan_buckets(store, dimension).select(key, AS_OF), key, dimension,
+                  AS_OF if dated else None)
+        for column, dimension, key in GOLD[table].references
+    ]
 
 
 def merge_table(store: GoldStore, table: str, source: DataFrame,
-                since: dict[str, DataFrame] | None = None,
                 reduce: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
     """Upsert ``source`` into a stored table; returns (table, staged, loaded, dropped).
 
     ``reduce`` leaves one row per key among those that pass the references.
-    Columns of ``source`` that the table lacks (such as ``game_date``) serve these
-    two steps only. An empty source writes nothing.
+    Columns of ``source`` that the table lacks serve these two steps only; of these
+    ``game_date`` is also kept as the row's date: a fact never gives way to one of
+    an earlier date, in whatever order they are loaded. An empty source writes nothing.
     """
     spec = GOLD[table]
     _finish_swap(store, table)
-    references = references_of(store, table, since)
+    dated = "game_date" in source.columns and "game_date" not in spec.columns
+    references = references_of(store, table, dated)
     typed = typed_store(source, spec)
     flagged = fk_flags(typed, references).select(
         store.bucket_of(table).alias(BUCKET), all_references(references).alias("_ok")
@@ -144,9 +143,12 @@ def merge_table(store: GoldStore, table: str, source: DataFrame,
     touched = sorted(r[BUCKET] for r in per_bucket if r.loaded)
     if touched:
         supplied = [c for c in typed.columns if c in spec.columns]
+        if set(supplied) - set(spec.primary_key):
+            row_date = F.col("game_date") if dated else F.lit(None).cast("date")
+            supplied.append(row_date.alias(AS_OF))
         accepted = reduce(fk_filter(typed, references)).select(*supplied)
         old = _scan_buckets(store, table).where(F.col(BUCKET).isin(touched)).drop(BUCKET)
-        merged = upsert(old, accepted, list(spec.primary_key))
+        merged = upsert(old, accepted, list(spec.primary_key), AS_OF if dated else None)
         _write_buckets(store, table, merged, store.staging(table), "overwrite")
         _finish_swap(store, table)
     return store.spark.createDataFrame(
@@ -156,17 +158,47 @@ def merge_table(store: GoldStore, table: str, source: DataFrame,
 
 
 def append_absent(store: GoldStore, table: str, stubs: DataFrame) -> None:
-    """Insert rows whose key the table lacks; known rows are neither read in full nor rewritten."""
+    """Insert rows whose key the table lacks; known rows are neither read in full nor rewritten.
+
+    A column ``since`` of the stubs becomes the rows' date.
+    """
     spec = GOLD[table]
     _finish_swap(store, table)
-    fresh = new_rows(scan_gold(store, table), typed_store(stubs, spec), list(spec.primary_key))
+    known = scan_gold(store, table)
+    fresh = new_rows(known, typed_store(stubs, spec), list(spec.primary_key))
+    row_date = F.col("since") if "since" in stubs.columns else F.lit(None).cast("date")
     complete = fresh.select(*[
         F.col(c) if c in fresh.columns else F.lit(None).cast(t).alias(c)
         for c, t in spec.columns.items()
-    ])
+    ], row_date.alias(AS_OF))
     _write_buckets(store, table, complete, store.path(table), "append")
 
 
+def date_back(store: GoldStore, table: str, stubs: DataFrame) -> None:
+    """Let stubs of an earlier date take the place of stubs that a later date had brought.
+
+    Rows of a dimension load stay as they are. Nothing is written when none is earlier.
+    """
+    spec = GOLD[table]
+    _finish_swap(store, table)
+    key = spec.primary_key[0]
+    held = _scan_buckets(store, table).select(F.col(key).alias("_held"), F.col(AS_OF).alias("_from"))
+    typed = typed_store(stubs, spec).withColumnRenamed("since", AS_OF)
+    earlier = typed.join(held, (F.col(key) == F.col("_held")) & (F.col(AS_OF) < F.col("_from")), "left_semi")
+    touched = [r[0] for r in earlier.select(store.bucket_of(table)).distinct().collect()]
+    if touched:
+        old = _scan_buckets(store, table).where(F.col(BUCKET).isin(touched)).drop(BUCKET)
+        _write_buckets(store, table, upsert(old, earlier, [key]), store.staging(table), "overwrite")
+        _finish_swap(store, table)
+
+
+def brought_by(store: GoldStore, table: str, dates: DataFrame) -> DataFrame:
+    """(key, since) of the dimension rows that the box scores of these dates first brought."""
+    key = GOLD[table].primary_key[0]
+    rows = _scan_buckets(store, table).select(key, F.col(AS_OF).alias("since"))
+    return rows.join(dates.select(F.col("game_date").alias("since")).distinct(), "since", "left_semi")
+
+
 def _write_buckets(store: GoldStore, table: str, df: DataFrame, path: str, mode: str) -> None:
     placed = df.withColumn(BUCKET, store.bucket_of(table)).hint("rebalance", BUCKET)
     if table == "fact_play_by_play":

@@ -9,13 +9,15 @@ from courtlake.operators.dedupe import assert_unique, keep_first
 from courtlake.operators.refs import Reference, all_references, fk_flags
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+def upsert(target: DataFrame, source: DataFrame, keys: list[str],
+           unless_later: str | None = None) -> DataFrame:
     """The target after inserting new keys and updating known ones.
 
     A known key takes every non-key column the source supplies, nulls included;
     columns the source does not supply keep their value (null on insert). A
     source that is all key changes nothing on a known key. A repeated or null
     source key fails the query. Applying the same source twice equals once.
+    ``unless_later`` names a column of both: a known row with a larger value stays.
     """
     supplied = [c for c in source.columns if c not in keys]
     unknown = [c for c in source.columns if c not in target.columns]
@@ -30,8 +32,11 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
         F.lit(True).alias("_hit"),
     )
     joined = target.join(incoming, keys, "full_outer")
+    hit = F.col("_hit")
+    if unless_later:
+        hit = hit & ~F.coalesce(F.col(unless_later) > F.col(f"_new_{unless_later}"), F.lit(False))
     return joined.select(*[
-        F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
+        F.when(hit, F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
         if c in supplied else F.col(c)
         for c in target.columns
     ])

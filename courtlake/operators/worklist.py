@@ -15,16 +15,17 @@ MANIFEST_PART_SIZE = 10_000
 
 
 def build_manifests(dates: DataFrame, ids: DataFrame, part_size: int = MANIFEST_PART_SIZE) -> DataFrame:
-    """(game_date, part, game_ids): ids in their order, an empty list for a day without games.
+    """(game_date, first_pos, game_ids): ids in their order, an empty list for a day without games.
 
-    ``ids`` holds (game_date, pos, game_id) with positions counted per date.
+    ``ids`` holds (game_date, pos, game_id) with positions counted per date. Each
+    part says where it starts, so that parts of any size can be read together.
     """
     parts = ids.groupBy(
-        "game_date", F.floor(F.col("pos") / F.lit(part_size)).alias("part")
+        "game_date", F.floor(F.col("pos") / F.lit(part_size)).alias("_part")
     ).agg(F.array_sort(F.collect_list(F.struct("pos", "game_id"))).alias("_ids"))
     return dates.select("game_date").join(parts, "game_date", "left").select(
         "game_date",
-        F.coalesce("part", F.lit(0)).alias("part"),
+        F.coalesce(F.get("_ids.pos", F.lit(0)), F.lit(0)).cast("bigint").alias("first_pos"),
         F.coalesce(F.col("_ids.game_id"), F.array()).alias("game_ids"),
     )
 

@@ -10,7 +10,9 @@ from courtlake.functions.durations import decimal_minutes
 from courtlake.functions.numbers import coerce_double, zero_to_null
 from courtlake.operators.dedupe import drop_null_key, keep_first
 from courtlake.operators.flatten import conform
-from courtlake.operators.store import GoldStore, append_absent, merge_table, scan_gold
+from courtlake.operators.store import (
+    GoldStore, append_absent, brought_by, date_back, merge_table,
+)
 from courtlake.schemas import FACT_DATASETS, GOLD, GOLD_FROM_SILVER
 from courtlake.session import reliable_checkpoint
 
@@ -105,38 +107,51 @@ def load_team_stats(store: GoldStore, team_games: DataFrame) -> DataFrame:
     return merge_table(store, "fact_team_stats", team_fact_rows(team_games))
 
 
-def load_facts(spark: SparkSession, store: GoldStore, silver: dict[str, DataFrame]) -> DataFrame:
+def load_facts(spark: SparkSession, store: GoldStore, silver: dict[str, DataFrame],
+               later: dict[str, DataFrame] | None = None) -> DataFrame:
     """Stub dimensions, then the three dated facts, for all dates in ``silver``.
 
-    The result is the one of loading the dates one after the other: a stub comes
-    from its earliest date, a fact from its latest, and a fact does not see a
-    stub that only a later date brings.
+    The result does not depend on how dates are batched, in which order they are
+    loaded, or how often: a stub comes from its earliest date, a fact from its
+    latest, and a fact does not see a stub that only a later date brings. Both
+    dates are stored with the rows. ``later`` holds silver rows of dates that are
+    loaded already and come after the first of these: those that refer to a stub
+    of the present dates are tried again.
     """
-    since = {}
+    seen_again: dict[str, DataFrame] = {}
     if "boxscores" in silver:
+        dates = silver["boxscores"].select("game_date").distinct()
         for table, stubs in dimension_stubs(silver["boxscores"]).items():
-            key = GOLD[table].primary_key[0]
-            known = store_keys(store, table)
-            fresh = stubs.join(known, F.col(key) == F.col("_known"), "left_anti")
             # Fixed before the append, after which the stubs are known keys.
-            fresh = reliable_checkpoint(spark, fresh)
-            append_absent(store, table, fresh.drop("since"))
-            since[table] = fresh.select(key, "since")
+            stubs = reliable_checkpoint(spark, stubs)
+            append_absent(store, table, stubs)
+            if later:
+                date_back(store, table, stubs)
+                seen_again[table] = brought_by(store, table, dates)
     counts = []
     for table, dataset in FACT_DATASETS.items():
         if dataset in silver:
-            counts.append(load_fact(store, table, silver[dataset], since))
+            rows = fact_rows(silver[dataset], table)
+            if seen_again and later and dataset in later:
+                rows = rows.unionByName(_referring(fact_rows(later[dataset], table), table, seen_again))
+            counts.append(load_fact(store, table, rows))
     return _counts(counts)
 
 
-def load_fact(store: GoldStore, table: str, silver: DataFrame,
-              since: dict[str, DataFrame] | None = None) -> DataFrame:
-    rows = fact_rows(silver, table)
-    return merge_table(store, table, rows, since, reduce=lambda kept: last_load(kept, table))
+def _referring(rows: DataFrame, table: str, brought: dict[str, DataFrame]) -> DataFrame:
+    """Rows of a fact, on or after its date, that refer to one of these dimension rows."""
+    found = None
+    for column, dimension, key in GOLD[table].references:
+        if dimension in brought:
+            keys = brought[dimension].select(F.col(key).alias("_brought"), "since")
+            match = (F.col(column) == F.col("_brought")) & (F.col("since") <= F.col("game_date"))
+            own = rows.join(keys, match, "left_semi")
+            found = own if found is None else found.unionByName(own)
+    return rows.limit(0) if found is None else found
 
 
-def store_keys(store: GoldStore, table: str) -> DataFrame:
-    return scan_gold(store, table).select(F.col(GOLD[table].primary_key[0]).alias("_known"))
+def load_fact(store: GoldStore, table: str, rows: DataFrame) -> DataFrame:
+    return merge_table(store, table, rows, reduce=lambda kept: last_load(kept, table))
 
 
 def _counts(frames: list[DataFrame]) -> DataFrame:

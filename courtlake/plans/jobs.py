@@ -13,9 +13,10 @@ from courtlake.operators.contracts import empty_report, validation_report
 from courtlake.operators.store import GoldStore, scan_gold
 from courtlake.plans.gold import load_dimensions, load_facts, load_team_stats
 from courtlake.plans.silver import (
-    build_dims_silver, build_silver, scan_dims, scan_raw, validate_silver, write_silver,
+    build_dims_silver, build_silver, scan_dims, scan_quarantine, scan_raw, validate_silver, write_silver,
 )
 from courtlake.schemas import DATASETS, DIMENSIONS, FACTS
+from courtlake.session import reliable_checkpoint, shared_dir
 from courtlake.sources.documents import (
     manifest_entries, require_manifests, scan_manifests, skip_no_game_days,
 )
@@ -37,7 +38,22 @@ def process_dates(spark: SparkSession, entries: DataFrame, docs: dict[str, DataF
     """
     write_silver(build_silver(entries, docs), silver_root)
     silver = silver_of_dates(spark, silver_root, entries)
-    return validate_silver(silver), load_facts(spark, store, silver)
+    later = later_silver(spark, silver_root, entries)
+    return validate_silver(silver), load_facts(spark, store, silver, later)
+
+
+def later_silver(spark: SparkSession, silver_root: str, entries: DataFrame) -> dict[str, DataFrame] | None:
+    """Stored silver rows of dates after the first listed one that are not listed; None without any.
+
+    None is the rule: such dates exist when a date arrives after a later one.
+    """
+    dates = entries.select("game_date").distinct()
+    first = dates.agg(F.min("game_date").alias("first"))
+    after = worklist.silver_dates(spark, silver_root).join(first, F.col("game_date") > F.col("first")).join(
+        dates, "game_date", "left_anti").select("game_date")
+    if after.isEmpty():
+        return None
+    return silver_of_dates(spark, silver_root, after)
 
 
 def silver_of_dates(spark: SparkSession, silver_root: str, entries: DataFrame) -> dict[str, DataFrame]:
@@ -107,12 +123,15 @@ def plan_backfill(dates: DataFrame, manifests: DataFrame, written: DataFrame,
 
 def backfill(spark: SparkSession, manifests: DataFrame, documents_of: DocumentsOf,
              silver_root: str, store: GoldStore, dates: DataFrame, force: bool = False,
-             ) -> tuple[DataFrame, DataFrame | None]:
+             quarantine_of: DocumentsOf | None = None) -> tuple[DataFrame, DataFrame | None]:
     """All pending dates of a range in one batch; returns (summary, contract results).
 
-    The results are None when no pending date has games.
+    The results are None when no pending date has games. ``quarantine_of`` gives the
+    listed documents that can't be read: they are kept beside the silver tables, and
+    their dates count as failed, while what could be read of them is loaded.
     """
-    statuses = plan_backfill(dates, manifests, worklist.silver_dates(spark, silver_root), force)
+    statuses = reliable_checkpoint(
+        spark, plan_backfill(dates, manifests, worklist.silver_dates(spark, silver_root), force))
     work = manifests.join(
         statuses.where("status = 'processed'").select("game_date"), "game_date", "left_semi"
     )
@@ -122,6 +141,14 @@ def backfill(spark: SparkSession, manifests: DataFrame, documents_of: DocumentsO
         results, _ = process_dates(
             spark, entries, documents_of(spark, entries), silver_root, store
         )
+        if quarantine_of is not None:
+            path = shared_dir(spark, "quarantine")
+            quarantine_of(spark, entries).write.parquet(path)
+            kept = spark.read.parquet(path)
+            kept.write.mode("append").parquet(f"{silver_root}/_quarantine")
+            broken = kept.select("game_date").distinct().withColumn("_broken", F.lit(True))
+            statuses = statuses.join(broken, "game_date", "left").select(
+                "game_date", F.when(F.col("_broken"), "failed").otherwise(F.col("status")).alias("status"))
     return worklist.backfill_summary(statuses), results
 
 
@@ -142,6 +169,7 @@ def backfill_lake(spark: SparkSession, bronze_root: str, silver_root: str, store
     summary, results = backfill(
         spark, scan_manifests(spark, f"{bronze_root}/manifests"), lake_documents(bronze_root),
         silver_root, store, date_range(spark, start, end), force,
+        lambda session, entries: scan_quarantine(session, bronze_root, entries),
     )
     if results is not None:
         checked.append(results)

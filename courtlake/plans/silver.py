@@ -18,7 +18,7 @@ from courtlake.functions.text import extras, strip_text
 from courtlake.operators.contracts import check_contract
 from courtlake.operators.dedupe import keep_first
 from courtlake.operators.flatten import flatten_sides, open_columns, player_columns
-from courtlake.operators.sinks import write_dim, write_partitioned
+from courtlake.operators.sinks import stage_dim, switch_dim, write_partitioned
 from courtlake.schemas import CONTRACT_SOURCES, CONTRACTS, DATASETS, SILVER, SILVER_KEYS
 from courtlake.sources import documents
 from courtlake.sources.documents import drop_failed_files, listed_games, on_list
@@ -154,13 +154,14 @@ def write_silver(silver: Silver, root: str) -> None:
 
 
 def validate_silver(rows: dict[str, DataFrame]) -> DataFrame:
-    """Contract results of every game in every dataset."""
+    """Contract results of every game in every dataset, apart for each date it is listed on."""
     results = None
     for dataset in DATASETS:
         if dataset not in rows:
             continue
         checked = check_contract(
-            rows[dataset], CONTRACTS[dataset], CONTRACT_SOURCES[dataset], group="GAME_ID"
+            rows[dataset], CONTRACTS[dataset], CONTRACT_SOURCES[dataset], group="GAME_ID",
+            within=("game_date",),
         )
         results = checked if results is None else results.unionByName(checked)
     return results
@@ -230,13 +231,17 @@ def build_dims_silver(spark: SparkSession, player_items: DataFrame, team_docs: D
                       silver_root: str) -> DataFrame:
     """Write the players and team-history tables; returns their contract results.
 
-    A team history of which no file can be read is an error.
+    Players or a team history of which nothing can be read are an error, and then
+    neither table changes: both are written beside the old ones and looked at first.
     """
-    write_dim(players_table(player_items), f"{silver_root}/players")
-    write_dim(team_games_table(team_docs)[0], f"{silver_root}/teams")
+    tables = {"players": players_table(player_items), "teams": team_games_table(team_docs)[0]}
+    staged = {name: stage_dim(rows, f"{silver_root}/{name}") for name, rows in tables.items()}
+    for name, what in (("players", "player"), ("teams", "team history")):
+        if spark.read.parquet(staged[name]).isEmpty():
+            raise ValueError(f"no {what} could be read")
+    for name, path in staged.items():
+        switch_dim(spark, path, f"{silver_root}/{name}")
     players, teams = (spark.read.parquet(f"{silver_root}/{t}") for t in ("players", "teams"))
-    if teams.isEmpty():
-        raise ValueError("no team history could be read")
     return check_contract(players, CONTRACTS["players"], "players").unionByName(
         check_contract(teams, CONTRACTS["teams"], "teams")
     )
@@ -250,6 +255,26 @@ def scan_dims(spark: SparkSession, bronze_root: str) -> tuple[DataFrame, DataFra
     )
 
 
+RAW_DOCUMENTS = {
+    "boxscores": schemas.BOXSCORE_DOC, "pbp": schemas.ACTIONS_DOC, "shot_chart": schemas.RESULT_SET_DOC,
+}
+
+
+def scan_quarantine(spark: SparkSession, bronze_root: str, entries: DataFrame) -> DataFrame:
+    """(dataset, file_key, game_date, reason, text) of listed documents that can't be read."""
+    listed = entries.groupBy("game_date", "game_id").agg(F.count("*").alias("_listed"))
+    only, found = documents.short_list(entries), None
+    for dataset, schema in RAW_DOCUMENTS.items():
+        docs = documents.scan_documents(spark, f"{bronze_root}/{dataset}", schema, only)
+        bad = documents.split_corrupt(docs)[1]
+        rows = bad.join(listed, F.col("file_key") == F.col("game_id")).select(
+            F.lit(dataset).alias("dataset"), "file_key", "game_date",
+            F.lit("malformed").alias("reason"), F.col(documents.CORRUPT).alias("text"),
+        )
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
 def scan_raw(spark: SparkSession, bronze_root: str, entries: DataFrame | None = None,
              ) -> dict[str, DataFrame]:
     """Readable documents per dataset below a raw lake.
@@ -257,14 +282,9 @@ def scan_raw(spark: SparkSession, bronze_root: str, entries: DataFrame | None =
     With a short list of wanted games only their files are opened.
     """
     only = None if entries is None else documents.short_list(entries)
-    kinds = {
-        "boxscores": schemas.BOXSCORE_DOC,
-        "pbp": schemas.ACTIONS_DOC,
-        "shot_chart": schemas.RESULT_SET_DOC,
-    }
     return {
         dataset: documents.split_corrupt(
             documents.scan_documents(spark, f"{bronze_root}/{dataset}", schema, only)
         )[0]
-        for dataset, schema in kinds.items()
+        for dataset, schema in RAW_DOCUMENTS.items()
     }

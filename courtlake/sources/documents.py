@@ -94,21 +94,50 @@ def keep_nonempty(docs: DataFrame, array: str | Column) -> DataFrame:
 
 # ---- manifests -----------------------------------------------------------
 
-def scan_manifests(spark: SparkSession, path: str) -> DataFrame:
-    """All manifests below ``path`` as (game_date date, part bigint, game_ids)."""
-    full = f"{schemas.MANIFEST_DOC}, part bigint"
+MANIFEST_PART_DOC = f"{schemas.MANIFEST_DOC}, first_pos bigint"
+
+
+def manifest_documents(files: DataFrame) -> DataFrame:
+    """Manifest documents out of ``files(file_key, value)``, malformed ones kept apart.
+
+    A file holds one document, written in whatever way, or one on each line. A
+    document without a date counts as malformed.
+    """
+    lines = F.filter(F.split("value", "\n"), lambda x: F.length(F.btrim(x, F.lit(WHITE_SPACE))) > 0)
+    one_each = (F.size(lines) > 0) & F.forall(
+        lines, lambda x: F.btrim(x, F.lit(WHITE_SPACE)).rlike(r"^\{.*\}$"))
+    each = F.explode(F.when(one_each, lines).otherwise(F.array("value")))
+    found = files.select("file_key", each.alias("doc")).withColumn("_text", F.col("doc"))
+    parsed = parse_documents(found, "doc", MANIFEST_PART_DOC)
+    undated = F.col("game_date").try_cast("date").isNull()
+    return parsed.withColumn(CORRUPT, F.coalesce(CORRUPT, F.when(undated, F.col("_text")))).drop("_text")
+
+
+def scan_manifest_documents(spark: SparkSession, path: str) -> DataFrame:
     if not path_exists(spark, path):
-        return spark.createDataFrame([], "game_date date, part bigint, game_ids array<string>")
-    docs = spark.read.schema(full).option("pathGlobFilter", "*.json").json(path)
-    return typed_manifests(docs)
+        return spark.createDataFrame([], f"file_key string, {MANIFEST_PART_DOC}, {CORRUPT} string")
+    files = spark.read.option("pathGlobFilter", "*.json").text(path, wholetext=True)
+    return manifest_documents(
+        files.select(key_from_path("_metadata.file_name").alias("file_key"), "value"))
+
+
+def scan_manifests(spark: SparkSession, path: str) -> DataFrame:
+    """All readable manifests below ``path`` as (game_date date, first_pos bigint, game_ids)."""
+    return typed_manifests(split_corrupt(scan_manifest_documents(spark, path))[0])
+
+
+def malformed_manifests(spark: SparkSession, path: str) -> DataFrame:
+    """(file_key, text) of manifests that can't be read or have no date."""
+    return split_corrupt(scan_manifest_documents(spark, path))[1].select(
+        "file_key", F.col(CORRUPT).alias("text"))
 
 
 def typed_manifests(docs: DataFrame) -> DataFrame:
-    """Manifest documents with a date and never-null id lists and part numbers."""
-    part = F.coalesce(F.col("part"), F.lit(0)) if "part" in docs.columns else F.lit(0)
+    """Manifest documents with a date and never-null id lists and start positions."""
+    first = F.coalesce(F.col("first_pos"), F.lit(0)) if "first_pos" in docs.columns else F.lit(0)
     return docs.where(F.col("game_date").isNotNull()).select(
         F.col("game_date").cast("date").alias("game_date"),
-        part.alias("part"),
+        first.cast("bigint").alias("first_pos"),
         or_empty("game_ids").alias("game_ids"),
     )
 
@@ -117,24 +146,22 @@ def skip_no_game_days(manifests: DataFrame) -> DataFrame:
     return keep_nonempty(manifests, "game_ids")
 
 
-def manifest_entries(manifests: DataFrame, part_size: int | None = None) -> DataFrame:
+def manifest_entries(manifests: DataFrame) -> DataFrame:
     """One row per listed game: (game_date, manifest_pos, game_id)."""
-    from courtlake.operators.worklist import MANIFEST_PART_SIZE
-
-    size = MANIFEST_PART_SIZE if part_size is None else part_size
-    return manifests.select("game_date", "part", F.posexplode("game_ids").alias("_pos", "game_id")).select(
-        "game_date",
-        (F.col("part") * F.lit(size) + F.col("_pos")).alias("manifest_pos"),
-        "game_id",
+    return manifests.select("game_date", "first_pos", F.posexplode("game_ids").alias("_pos", "game_id")).select(
+        "game_date", (F.col("first_pos") + F.col("_pos")).alias("manifest_pos"), "game_id",
     )
 
 
 def require_manifests(dates: DataFrame, manifests: DataFrame) -> DataFrame:
     """Manifests of the wanted dates; a date without one is an error at once."""
     wanted = dates.select("game_date").distinct()
-    missing = wanted.join(manifests, "game_date", "left_anti").orderBy("game_date").limit(5).collect()
-    if missing:
-        raise FileNotFoundError("no manifest for " + ", ".join(str(r.game_date) for r in missing))
+    absent = wanted.join(manifests, "game_date", "left_anti")
+    missing = absent.agg(F.count("*").alias("n"), F.min("game_date").alias("first"),
+                         F.max("game_date").alias("last")).first()
+    if missing.n:
+        raise FileNotFoundError(f"no manifest for {missing.n} dates from {missing.first} to {missing.last}"
+                                if missing.n > 1 else f"no manifest for {missing.first}")
     return manifests.join(wanted, "game_date", "left_semi")
 
 

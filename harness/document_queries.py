@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from courtlake import schemas
@@ -14,7 +15,8 @@ from courtlake.sources import documents, resultset
 from harness import raw
 from harness.registry import query, table
 
-PART = worklist.MANIFEST_PART_SIZE
+# Small, so that most dates have several parts.
+PART = 3
 
 DAYS_SQL = """
 days AS (
@@ -29,34 +31,36 @@ def day_manifests(spark, sf_dir):
 
     orders = table(spark, sf_dir, "orders")
     span = orders.agg(F.min("o_orderdate").alias("first"), F.max("o_orderdate").alias("last"))
+    in_order = Window.partitionBy("o_orderdate").orderBy("o_orderkey")
     ids = orders.select(
-        F.col("o_orderdate").alias("game_date"), F.col("o_orderkey").alias("pos"),
+        F.col("o_orderdate").alias("game_date"), (F.row_number().over(in_order) - 1).alias("pos"),
         F.col("o_orderkey").cast("string").alias("game_id"),
     )
-    return worklist.build_manifests(date_sequence(span, "first", "last"), ids)
+    return worklist.build_manifests(date_sequence(span, "first", "last"), ids, PART)
 
 
 @query("write_manifest", f"""
 WITH {DAYS_SQL},
+placed AS (
+  SELECT o_orderdate::DATE AS game_date, o_orderkey,
+         row_number() OVER (PARTITION BY o_orderdate ORDER BY o_orderkey) - 1 AS pos FROM orders),
 parts AS (
-  SELECT o_orderdate::DATE AS game_date, o_orderkey // {PART} AS part, count(*) AS n_ids,
+  SELECT game_date, pos // {PART} * {PART} AS first_pos, count(*) AS n_ids,
          string_agg(o_orderkey::VARCHAR, ',' ORDER BY o_orderkey) AS ids
-  FROM orders GROUP BY ALL)
-SELECT game_date, coalesce(part, 0) AS part, coalesce(n_ids, 0)::INT AS n_ids, coalesce(ids, '') AS ids
+  FROM placed GROUP BY ALL)
+SELECT game_date, coalesce(first_pos, 0) AS first_pos, coalesce(n_ids, 0)::INT AS n_ids, coalesce(ids, '') AS ids
 FROM days LEFT JOIN parts USING (game_date)
 """)
 def write_manifest(spark, sf_dir):
     path = shared_dir(spark, "manifests")
     worklist.write_manifests(day_manifests(spark, sf_dir), path)
     return documents.scan_manifests(spark, path).select(
-        "game_date", "part", F.size("game_ids").alias("n_ids"),
+        "game_date", "first_pos", F.size("game_ids").alias("n_ids"),
         F.array_join("game_ids", ",").alias("ids"),
     )
 
 
-POSITION_SQL = f"""
-(o_orderkey // {PART}) * {PART}
-  + row_number() OVER (PARTITION BY o_orderdate, o_orderkey // {PART} ORDER BY o_orderkey) - 1"""
+POSITION_SQL = "row_number() OVER (PARTITION BY o_orderdate ORDER BY o_orderkey) - 1"
 
 
 @query("scan_manifest", f"""

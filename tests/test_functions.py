@@ -1,4 +1,4 @@
-"""Column functions on edge values; durations and rounding against plain Python rules."""
+"""Column functions on edge values."""
 
 from __future__ import annotations
 
@@ -12,10 +12,17 @@ from courtlake.functions import dates, durations, numbers, text
 from courtlake.operators.store import typed_store
 from courtlake.schemas import GoldTable
 
+NAN, INF = math.nan, math.inf
+# Written out: duration, minutes with two decimals, seconds of a period clock.
 DURATIONS = [
-    "12:34", "PT12M34.00S", "PT12M", "PT34.00S", "1:2:3", "", None, "12.5", "x", "PT1H2M3S", "-1:30",
-    "PT12:34", "12:34PT", " 7 ", "PT05MS", "36", "PT12M34.00SS", "0:00", "1e1", "12:", "PT-1M30.0S",
-    "NaN", ":30", "PT12M34.50S", "1d", "PT1fM2S", "inf", "PTinfM2S", "PT", "PTMS", " PT1M2S", "5:1f",
+    ("12:34", 12.57, None), ("PT12M34.00S", 12.57, 754.0), ("PT12M34.50S", 12.57, 754.5),
+    ("PT-1M30.0S", -0.5, -30.0), ("PT12M34.00SS", 12.57, 754.0), ("PTinfM2S", INF, INF),
+    ("PT12M", None, None), ("PT34.00S", None, None), ("PT1H2M3S", None, None), ("PT12:34", None, None),
+    ("PT05MS", None, None), ("PT1fM2S", None, None), ("PT", None, None), ("PTMS", None, None),
+    (" PT1M2S", None, None), ("12:34PT", None, None), ("1:2:3", 1.03, None), ("-1:30", -0.5, None),
+    ("0:00", 0.0, None), ("12:", None, None), (":30", None, None), ("5:1f", None, None),
+    ("12.5", 12.5, None), (" 7 ", 7.0, None), ("36", 36.0, None), ("1e1", 10.0, None), ("NaN", NAN, None),
+    ("inf", INF, None), ("x", None, None), ("1d", None, None), ("", None, None), (None, None, None),
 ]
 
 
@@ -25,43 +32,16 @@ def values(spark, rows, kind, **columns):
     return df.select("v", *[c.alias(n) for n, c in columns.items()]).collect()
 
 
-def number(s):
-    return float(s.strip())
-
-
-def minutes_by_rule(m):
-    """Minutes with two decimals: m:s, PTmMsS, or a number; anything else is nothing."""
-    if not m:
-        return None
-    try:
-        if ":" in m and "PT" not in m:
-            left, right = m.split(":")[:2]
-            return round(number(left) + number(right) / 60, 2)
-        if m.startswith("PT"):
-            whole, rest = m[2:].split("M")
-            return round(number(whole) + number(rest.rstrip("S")) / 60, 2)
-        return round(number(m), 2)
-    except ValueError:
-        return None
-
-
-def seconds_by_rule(m):
-    try:
-        whole, rest = m[2:].split("M")
-        return number(whole) * 60 + number(rest.rstrip("S")) if m.startswith("PT") else None
-    except (ValueError, TypeError):
-        return None
-
-
 def same(a, b):
     return a == b or (None not in (a, b) and math.isnan(a) and math.isnan(b))
 
 
-def test_durations_follow_the_rules(spark):
-    for row in values(spark, DURATIONS, "string", m=durations.decimal_minutes("v"),
+def test_durations(spark):
+    expected = {text: (minutes, seconds) for text, minutes, seconds in DURATIONS}
+    for row in values(spark, list(expected), "string", m=durations.decimal_minutes("v"),
                       s=durations.clock_seconds("v")):
-        assert same(row.m, minutes_by_rule(row.v)), row
-        assert same(row.s, seconds_by_rule(row.v)), row
+        minutes, seconds = expected[row.v]
+        assert same(row.m, minutes) and same(row.s, seconds), row
 
 
 def test_rounding_is_that_of_the_binary_value(spark):
@@ -142,6 +122,8 @@ def test_text(spark):
     assert (row.t, row.n) == (None, "None")
     row, = values(spark, ["file:/x/y/0010500001.json"], "string", k=text.key_from_path("v"))
     assert row.k == "0010500001"
+    row, = values(spark, ["x/a.json.b.json"], "string", k=text.key_from_path("v"))
+    assert row.k == "a.json.b"
     doc = F.from_json("v", "map<string,string>")
     rows = values(spark, ['{"a":"x"}', '{"a":null}', "{}"], "string",
                   a=text.get_or_default(doc, "a"), e=F.size(text.extras(doc, ["b"])))

@@ -159,8 +159,12 @@ def test_batch_equals_dates_in_turn_equals_stream(spark, lake, tmp_path):
     summary, report = jobs.backfill_lake(
         spark, str(lake), f"{tmp_path}/batch/silver", stores["batch"], "2024-01-01", "2024-01-04")
     row = summary.first()
-    assert (row.total, row.processed, row.skipped, row.failed) == (4, 2, 1, 1)
-    assert row.failed_dates == "2024-01-04"
+    # The first date has a box score that can't be read, the last one no manifest.
+    assert (row.total, row.processed, row.skipped, row.failed) == (4, 1, 1, 2)
+    assert row.failed_dates == "2024-01-01, 2024-01-04"
+    kept = spark.read.parquet(f"{tmp_path}/batch/silver/_quarantine").collect()
+    assert [(r.dataset, r.file_key, str(r.game_date), r.text) for r in kept] == [
+        ("boxscores", "002", "2024-01-01", "{broken")]
     assert "checked" in report.where("source = '*'").first().line
     for day in ("2024-01-01", "2024-01-03"):
         jobs.process_date(spark, manifests, jobs.lake_documents(str(lake)), f"{tmp_path}/turn/silver",
@@ -198,10 +202,47 @@ def test_dimension_refresh(spark, lake, tmp_path):
     assert names(stored, "full_name") == ["A B", "C"]
 
 
-def test_unreadable_team_files_leave_nothing(spark, lake, tmp_path):
-    docs = documents.scan_result_sets(spark, f"{lake}/teams").where("file_key <> '1'")
-    with pytest.raises(ValueError):
-        silver.build_dims_silver(spark, silver.scan_players(spark, str(lake)), docs, f"{tmp_path}/s")
+def test_bad_dimensions_leave_the_old_tables(spark, lake, tmp_path, monkeypatch):
+    root = f"{tmp_path}/s"
+    players, teams = silver.scan_dims(spark, str(lake))
+    silver.build_dims_silver(spark, players, teams, root)
+    before = {t: sorted(map(str, spark.read.parquet(f"{root}/{t}").collect())) for t in ("players", "teams")}
+    broken = tmp_path / "broken"
+    put(broken, "players", "players", '[{"id": 1, "full_name"')
+    with pytest.raises(ValueError, match="player"):
+        silver.build_dims_silver(spark, silver.scan_players(spark, str(broken)), teams, root)
+    with pytest.raises(ValueError, match="team"):
+        silver.build_dims_silver(spark, players, teams.where("file_key <> '1'"), root)
+
+    def lost(*_):
+        raise OSError("driver lost")
+
+    monkeypatch.setattr(silver, "switch_dim", lost)
+    with pytest.raises(OSError):
+        silver.build_dims_silver(spark, players.where("id = 8"), teams, root)
+    assert before == {t: sorted(map(str, spark.read.parquet(f"{root}/{t}").collect())) for t in before}
+
+
+def test_manifests_in_any_form(spark, tmp_path):
+    put(tmp_path, "m", "a", json.dumps({"game_date": "2024-02-01", "game_ids": ["1"]}, indent=2))
+    put(tmp_path, "m", "b", '{"game_date":"2024-02-02","first_pos":7,"game_ids":["2","3"]}\n'
+                            '{"game_date":"2024-02-02","first_pos":0,"game_ids":["4"]}\n')
+    put(tmp_path, "m", "c", '{"game_date":"2024-02-03","game_ids":["5"')
+    put(tmp_path, "m", "d", '{"game_ids":["6"]}')
+    path = str(tmp_path / "m")
+    entries = documents.manifest_entries(documents.scan_manifests(spark, path))
+    assert sorted((str(r.game_date), r.manifest_pos, r.game_id) for r in entries.collect()) == [
+        ("2024-02-01", 0, "1"), ("2024-02-02", 0, "4"), ("2024-02-02", 7, "2"), ("2024-02-02", 8, "3")]
+    assert names(documents.malformed_manifests(spark, path), "file_key") == ["c", "d"]
+
+
+def test_contracts_of_a_game_on_two_dates(spark):
+    rows = [("001", day, n, n) for day in ("2024-01-01", "2024-01-02") for n in range(1, 121)]
+    pbp = spark.createDataFrame(rows, "GAME_ID string, game_date string, actionNumber bigint, period bigint")
+    pbp = pbp.withColumn("clock_seconds", F.lit(1.0)).withColumn("period", F.lit(1).cast("bigint"))
+    results = silver.validate_silver({"pbp": pbp}).collect()
+    assert [r.n_total for r in results] == [120, 120]
+    assert all(c.n_bad == 0 for r in results for c in r.checks if c.check == "pk_unique")
 
 
 def test_silver_keeps_dates_it_has_no_rows_for(spark, lake, tmp_path):
@@ -214,3 +255,50 @@ def test_silver_keeps_dates_it_has_no_rows_for(spark, lake, tmp_path):
     plan = tables.only_date(tables.scan_silver(spark, root, "boxscores"), "2024-01-03")
     assert plan.count() == 2
     assert "PartitionFilters: [isnotnull(season" in plan._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def two_dates(tmp_path_factory):
+    """Players who come up on a later date only, and a game listed on both."""
+    root = tmp_path_factory.mktemp("two")
+    for day, ids in (("2024-01-01", ["001", "005"]), ("2024-01-03", ["003", "005"])):
+        put(root, "manifests", day, {"game_date": day, "game_ids": ids})
+    put(root, "boxscores", "001", box([player(1), player(7)], [player(3)]))
+    put(root, "boxscores", "003", box([player(1, "PT5M30.00S"), player(4)], [player(7)], team=5))
+    put(root, "boxscores", "005", box([player(9)], []))
+    put(root, "shot_chart", "001", shots((10, 1), (11, 4)))
+    put(root, "shot_chart", "003", shots((20, 4), (21, 7)))
+    put(root, "shot_chart", "005", shots((30, 9), (31, 4)))
+    return root
+
+
+def test_order_batches_and_crashes_change_nothing(spark, two_dates, tmp_path, monkeypatch):
+    import os
+
+    root = str(two_dates)
+    gold = lambda name: st.create_tables(spark, f"{tmp_path}/{name}/gold", 2)
+    batch = gold("batch")
+    jobs.backfill_lake(spark, root, f"{tmp_path}/batch/silver", batch, "2024-01-01", "2024-01-03")
+    expected = snapshot(batch)
+    assert [r.game_event_id for r in st.scan_gold(batch, "fact_shots").orderBy("game_event_id").collect()] == [
+        10, 20, 21, 30, 31]
+    files = sorted((two_dates / "manifests").glob("*.json"))
+    for name, order, max_files in (("old-first", files, 1), ("new-first", files[::-1], 1), ("two", files, 2)):
+        for at, file in enumerate(order):
+            os.utime(file, (1_700_000_000 + at * 100,) * 2)
+        store = gold(name)
+        incremental_lake_run(spark, root, f"{tmp_path}/{name}/silver", store, f"{tmp_path}/{name}/check", max_files)
+        assert snapshot(store) == expected, name
+
+    def lost(*_args, **_more):
+        raise OSError("driver lost")
+
+    store = gold("crash")
+    run = lambda: jobs.backfill_lake(
+        spark, root, f"{tmp_path}/crash/silver", store, "2024-01-01", "2024-01-03", force=True)
+    with monkeypatch.context() as m:
+        m.setattr("courtlake.plans.gold.load_fact", lost)
+        with pytest.raises(OSError):
+            run()
+    run()
+    assert snapshot(store) == expected

@@ -125,7 +125,7 @@ def test_manifests_keep_order_and_empty_days(spark):
     parts = worklist.build_manifests(days, ids, part_size=3)
     from courtlake.sources.documents import manifest_entries
 
-    entries = manifest_entries(parts, part_size=3)
+    entries = manifest_entries(parts)
     assert rows(entries.select("manifest_pos", "game_id")) == [(p, f"id{p}") for p in range(4)]
 
 
