@@ -16,8 +16,11 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-#: Pieces a worker remembers; then it starts anew (about 100 MB).
-REMEMBERED = 400_000
+#: New pieces a worker remembers; then they become the older ones, and those before are forgotten
+#: unless they were met again (about 100 MB for both).
+REMEMBERED = 300_000
+#: Pieces that are encoded as one text.
+TOGETHER = 1000
 
 _BEFORE_WORD = re.compile(r" (?=\S)")
 _SPACE_RUN = re.compile(r" \s| \Z")
@@ -32,15 +35,51 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
+        special = self._tokenizer.get_added_tokens_decoder()
+        self._special = [t.content.encode() for t in special.values()]
+        self._between, self._between_id = next((t.content, i) for i, t in special.items())
         self._keeps_space = keeps_space
-        self._known: dict[str | bytes, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        # A word's last token has the end mark, or its first one the space before it.
+        vocabulary = self._tokenizer.get_vocab()
+        self._edge = np.zeros(max(vocabulary.values()) + 1, bool)
+        for token, i in vocabulary.items():
+            self._edge[i] = token.startswith("\u0120") if keeps_space else token.endswith("</w>")
+        self._new: dict = {}
+        self._old: dict = {}
+        # A full stop or comma behind a letter or digit is a token of its own.
+        self._marks = dict(zip(".,", self._encoded([".", ","])))
+
+    def _encoded(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces, none of which holds a special token: a special token stands between them."""
+        texts = [self._between.join(pieces[i:i + TOGETHER]) for i in range(0, len(pieces), TOGETHER)]
+        found: list[bytes] = []
+        for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+            ids = np.array(e.ids, "<u4")
+            cuts, data = np.flatnonzero(ids == self._between_id).tolist(), ids.tobytes()
+            found += [data[4 * a + 4:4 * b] for a, b in zip([-1, *cuts], [*cuts, len(ids)])]
+        return found
+
+    def _encoded_words(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters only: as running text, cut again where a word's tokens end."""
+        space = " " if self._keeps_space else ""
+        groups = [words[i:i + TOGETHER] for i in range(0, len(words), TOGETHER)]
+        found: list[bytes] = []
+        together = self._tokenizer.encode_batch_fast(
+            [space + " ".join(g) for g in groups], add_special_tokens=False)
+        for group, e in zip(groups, together):
+            ids = np.array(e.ids, "<u4")
+            edges = np.flatnonzero(self._edge[ids])
+            if len(edges) != len(group):  # a letter whose lower case isn't one: a word is cut further
+                found += self._encoded([space + w for w in group])
+                continue
+            cuts = [*edges.tolist(), len(ids)] if self._keeps_space else [0, *(edges + 1).tolist()]
+            data = ids.tobytes()
+            found += [data[4 * a:4 * b] for a, b in zip(cuts, cuts[1:])]
+        return found
 
     def _pieces(self, text: bytes) -> list:
+        """Words as bytes; or the text up to the first word cut, in a tuple, and then what stands
+        behind the space of each cut."""
         if not self._keeps_space:
             return text.split()
         decoded = text.decode()
@@ -48,25 +87,52 @@ class Encoder:
         first, *rest = cut(decoded)
         return [(first,), *rest]
 
-    def ids(self, texts: list[bytes]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        whole = [any(s.encode() in t for s in self._special) for t in texts]
-        cut = [[] if w else self._pieces(t) for t, w in zip(texts, whole)]
-        if len(self._known) > REMEMBERED:
-            self._known = {}
-        known = self._known
-        new = list(set().union(*cut).difference(known))
-        if new:
-            known.update(zip(new, self._encode([self._text(p) for p in new])))
-        look = known.__getitem__
-        return [self._encode([t.decode()])[0] if w else b"".join(map(look, pieces))
-                for t, w, pieces in zip(texts, whole, cut)]
-
     def _text(self, piece) -> str:
         if not self._keeps_space:
             return piece.decode()
         return piece[0] if isinstance(piece, tuple) else " " + piece
 
+    def _learn(self, pieces: set) -> None:
+        for p in [p for p in pieces if p in self._old]:
+            self._new[p] = self._old[p]
+            pieces.discard(p)
+        marked, wanted = {}, set()
+        for p in pieces:
+            text = self._text(p)
+            if len(text) > 1 and text[-1] in self._marks and text[-2].isalnum():
+                stem = (p[0][:-1],) if isinstance(p, tuple) else p[:-1]
+                marked[p] = stem, text[-1]
+                p = stem
+            if p not in self._new:
+                wanted.add(p)
+        words, others = [], []
+        for p in wanted:
+            text = p if isinstance(p, str) else p.decode() if isinstance(p, bytes) else ""
+            (words if text.isalpha() else others).append(p)
+        self._new.update(zip(words, self._encoded_words(
+            words if self._keeps_space else [p.decode() for p in words])))
+        self._new.update(zip(others, self._encoded([self._text(p) for p in others])))
+        for p, (stem, mark) in marked.items():
+            self._new[p] = self._new[stem] + self._marks[mark]
+
+    def ids(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers."""
+        if len(self._new) > REMEMBERED:
+            self._old, self._new = self._new, {}
+        whole = [any(s in t for s in self._special) for t in texts]
+        cut = [[] if w else self._pieces(t) for t, w in zip(texts, whole)]
+        known = [list(map(self._new.get, pieces)) for pieces in cut]
+        gaps = [[i for i, ids in enumerate(k) if ids is None] if None in k else () for k in known]
+        self._learn({pieces[i] for pieces, own in zip(cut, gaps) for i in own})
+        for k, pieces, own in zip(known, cut, gaps):
+            for i in own:
+                k[i] = self._new[pieces[i]]
+        return [self._encode_whole(t) if w else b"".join(k) for t, w, k in zip(texts, whole, known)]
+
+    def _encode_whole(self, text: bytes) -> bytes:
+        found = self._tokenizer.encode(text.decode(), add_special_tokens=False)
+        return np.array(found.ids, "<u4").tobytes()
+
 
 def _plain_cut(text: str) -> list[str]:
     return text.split(" ")
