@@ -11,8 +11,9 @@ from courtlake.functions.numbers import coerce_double, zero_to_null
 from courtlake.operators.dedupe import drop_null_key, keep_first
 from courtlake.operators.flatten import conform
 from courtlake.operators.store import (
-    GoldStore, append_absent, brought_by, date_back, merge_table,
+    GoldStore, append_absent, brought_by, date_back, merge_table, references_of, typed_store,
 )
+from courtlake.operators.refs import fk_rejects
 from courtlake.schemas import FACT_DATASETS, GOLD, GOLD_FROM_SILVER
 from courtlake.session import reliable_checkpoint
 
@@ -150,6 +151,12 @@ def _referring(rows: DataFrame, table: str, brought: dict[str, DataFrame]) -> Da
     return rows.limit(0) if found is None else found
 
 
+def fact_rejects(store: GoldStore, table: str, silver: DataFrame) -> DataFrame:
+    """(table, fk, key, n): the rows of a dated fact that a load leaves out, by the key they miss."""
+    rows = typed_store(fact_rows(silver, table), GOLD[table])
+    return fk_rejects(rows, references_of(store, table, dated=True), table)
+
+
 def load_fact(store: GoldStore, table: str, rows: DataFrame) -> DataFrame:
     return merge_table(store, table, rows, reduce=lambda kept: last_load(kept, table))
 

@@ -72,6 +72,24 @@ def silver_of_dates(spark: SparkSession, silver_root: str, entries: DataFrame) -
     }
 
 
+def load_dates(spark: SparkSession, silver_root: str, store: GoldStore, manifests: DataFrame,
+               dates: DataFrame) -> DataFrame | None:
+    """Gold only: load the stored silver rows of these dates; returns the load counts.
+
+    A date whose manifest is empty loads nothing; one without a manifest is loaded
+    from what silver holds. None when no date is left.
+    """
+    listed = manifests.groupBy("game_date").agg(F.sum(F.size("game_ids")).alias("n"))
+    wanted = dates.select("game_date").distinct().join(
+        listed.where("n = 0"), "game_date", "left_anti")
+    wanted = reliable_checkpoint(
+        spark, wanted.join(worklist.silver_dates(spark, silver_root), "game_date", "left_semi"))
+    if wanted.isEmpty():
+        return None
+    later = later_silver(spark, silver_root, wanted)
+    return load_facts(spark, store, silver_of_dates(spark, silver_root, wanted), later)
+
+
 def process_date(spark: SparkSession, manifests: DataFrame, documents_of: DocumentsOf,
                  silver_root: str, store: GoldStore, day) -> tuple[DataFrame, DataFrame] | None:
     """One date; without a manifest it fails, without games there is nothing to do."""

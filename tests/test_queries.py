@@ -8,16 +8,13 @@ import harness.queries  # noqa: F401  registers everything
 from harness.check import compare, connect
 from harness.registry import ORACLES, QUERIES
 
-# The long jobs; run `python -m harness.check SF_DIR` for all of them.
-LONG = {"load_team_stats", "load_stubs", "incremental_run", "backfill", "dims_refresh", "verify"}
-
 
 @pytest.fixture(scope="module")
 def connection(sf_dir):
     return connect(sf_dir)
 
 
-@pytest.mark.parametrize("key", [k for k in QUERIES if k not in LONG])
+@pytest.mark.parametrize("key", list(QUERIES))
 def test_query(spark, sf_dir, connection, key):
     assert compare(spark, connection, sf_dir, key) == []
 
