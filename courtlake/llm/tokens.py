@@ -24,6 +24,9 @@ TOGETHER = 1000
 
 _BEFORE_WORD = re.compile(r" (?=\S)")
 _SPACE_RUN = re.compile(r" \s| \Z")
+#: White space other than the space and the line feed.
+_OTHER_WHITE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_DOUBLE_WHITE = ("  ", "\n\n", " \n", "\n ")
 
 
 class Encoder:
@@ -78,11 +81,17 @@ class Encoder:
         return found
 
     def _pieces(self, text: bytes) -> list:
-        """Words as bytes; or the text up to the first word cut, in a tuple, and then what stands
-        behind the space of each cut."""
+        """Words as bytes; or pieces as they stand, in a tuple, and those behind a space without it."""
         if not self._keeps_space:
             return text.split()
         decoded = text.decode()
+        if _single_white(decoded):
+            # Then each line feed is a token, and so is no part of a word beside it.
+            pieces: list = []
+            for line in decoded.split("\n"):
+                first, *rest = line.split(" ")
+                pieces += [(first,), *rest, _LINE_END]
+            return pieces[:-1]
         cut = _BEFORE_WORD.split if _SPACE_RUN.search(decoded) else _plain_cut
         first, *rest = cut(decoded)
         return [(first,), *rest]
@@ -107,7 +116,7 @@ class Encoder:
                 wanted.add(p)
         words, others = [], []
         for p in wanted:
-            text = p if isinstance(p, str) else p.decode() if isinstance(p, bytes) else ""
+            text = p if isinstance(p, str) else p.decode() if isinstance(p, bytes) else ""  # "": as it stands
             (words if text.isalpha() else others).append(p)
         self._new.update(zip(words, self._encoded_words(
             words if self._keeps_space else [p.decode() for p in words])))
@@ -134,6 +143,15 @@ class Encoder:
         return np.array(found.ids, "<u4").tobytes()
 
 
+_LINE_END = ("\n",)
+
+
+def _single_white(text: str) -> bool:
+    """Words with one space or line feed between them, and nothing around them."""
+    return bool(text) and text[0] not in " \n" and text[-1] not in " \n" \
+        and not any(d in text for d in _DOUBLE_WHITE) and not _OTHER_WHITE.search(text)
+
+
 def _plain_cut(text: str) -> list[str]:
     return text.split(" ")
 
