@@ -13,7 +13,7 @@ from courtlake.session import shared_dir
 #: Rows of one Arrow batch that a task hands back to Spark.
 OUT_ROWS = 2048
 #: Bytes of text that a task works on at once; a single longer text is still taken whole.
-TEXT_BYTES = 8 << 20
+TEXT_BYTES = 2 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
