@@ -53,9 +53,6 @@ class Sketch:
 
 #: Linked: at most 2 of 64 bits differ, three-word shingles.
 TWO_BITS = Sketch()
-#: Five-word shingles of similarity 0.8 differ in 39 of 256 bits on average (sets of equal size,
-#: standard deviation 6); 47 leaves few of them out and few pairs below 0.7 in.
-SIMILAR = Sketch(words=5, lanes=4, max_bits=47, probe_words=1, probe_lanes=2)
 
 
 def _byte_bits() -> np.ndarray:
@@ -264,13 +261,16 @@ def near_groups(spark: SparkSession, docs: DataFrame, kind: Sketch = TWO_BITS) -
     return own.join(named, "sketch").select("doc_id", "sketch", "component_id")
 
 
-def one_of_each(spark: SparkSession, docs: DataFrame, kind: Sketch = SIMILAR) -> DataFrame:
-    """The rows of ``docs`` that stay: of each group the one with the smallest doc_id.
+def one_of_each(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay: of each group of near copies the one with the smallest doc_id.
 
+    Near copies have similarity 0.8 or more over five-word runs, compared exactly (``similar.py``).
     Rows that repeat this doc_id stay with it; rows without a doc_id can't be told apart and all
     stay. All columns are kept.
     """
-    gone = near_groups(spark, docs, kind).where("doc_id <> component_id").select(
+    from courtlake.llm.similar import similar_groups  # it takes its runs of words from here
+
+    gone = similar_groups(spark, docs).where("doc_id <> component_id").select(
         F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, docs.doc_id == F.col("_gone"), "left_anti")
 
