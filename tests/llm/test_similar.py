@@ -49,3 +49,17 @@ def test_contiguous_differences(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     kept = {r.doc_id for r in simhash.one_of_each(spark, docs).collect()}
     assert kept == set(expected.values())
+
+
+def test_below_the_limit_stays(spark):
+    """Similarity from 0.5 to 0.95 by scattered changes: only chains of true links are groups."""
+    rng, bases = texts(6, 150)
+    rows = []
+    for i, words in enumerate(bases):
+        other = list(words)
+        for j in rng.integers(0, 300, int(rng.integers(3, 17))):
+            other[j] = f"y{int(rng.integers(5000))}"
+        rows += [(i, " ".join(words)), (1000 + i, " ".join(other))]
+    expected, links = groups(rows)
+    assert 20 < len(links) < 130
+    assert found(spark, rows) == expected
