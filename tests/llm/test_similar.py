@@ -63,3 +63,26 @@ def test_below_the_limit_stays(spark):
     expected, links = groups(rows)
     assert 20 < len(links) < 130
     assert found(spark, rows) == expected
+
+
+def test_cells(spark, monkeypatch):
+    """Many copies with edits of their own, and texts that share a passage: small groups, same result."""
+    rng, bases = texts(7, 61)
+    rows = [(i, " ".join(bases[60][:40] + w[:9])) for i, w in enumerate(bases[:60])]
+    for i in range(200):
+        words = list(bases[60])
+        for j in rng.integers(0, 300, int(rng.integers(1, 12))):
+            words[j] = f"z{int(rng.integers(5000))}"
+        rows.append((1000 + i, " ".join(words)))
+    expected, links = groups(rows)
+    monkeypatch.setattr(similar, "CELL_ROWS", 10)
+    sizes, plain = [], similar._cells
+
+    def seen(*args):
+        cells = plain(*args)
+        sizes.extend(r["count"] for r in cells.groupBy("h", "lo", "hi").count().collect())
+        return cells
+
+    monkeypatch.setattr(similar, "_cells", seen)
+    assert found(spark, rows) == expected
+    assert len(links) > 1000 and 0 < max(sizes) <= 50
