@@ -36,6 +36,9 @@ MIN_SCORE, MIN_OVERLAP = 0.5, 0.7
 REMEMBERED = 400_000
 
 _LETTERS = re.compile(r"\w+")
+#: Letters of scripts written without spaces (Thai, Lao, Burmese, Khmer, kana, Han): words of their own.
+_SPACELESS = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff"
+                        "\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff])")
 
 
 def plain_word(word: str) -> str:
@@ -43,8 +46,13 @@ def plain_word(word: str) -> str:
     return "".join(_LETTERS.findall(word.lower()))
 
 
+def raw_words(text: str) -> list[str]:
+    """What any white space of Unicode parts, as it is written."""
+    return (text if text.isascii() else _SPACELESS.sub(r" \1 ", text)).split()
+
+
 def words_of(text: str) -> list[str]:
-    return [w for w in map(plain_word, text.split()) if w]
+    return [w for w in map(plain_word, raw_words(text)) if w]
 
 
 def pairs_of(words: list[str]) -> list[tuple[str, str]]:
@@ -191,7 +199,8 @@ def leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, min_score:
 
     ``start`` is the first word of the passage with the highest score. Whole texts of
     ``docs(doc_id, text)`` are searched for every item of ``benchmark(item_id, text)`` that has two
-    words or more; items that are null or shorter are left out. Repeated item_ids are items of
+    words or more (a letter of a script without spaces is a word); items that are null or shorter are
+    left out. Repeated item_ids are items of
     their own, and repeated documents give repeated rows. Empty tables give no rows.
     """
     items = saved(
@@ -225,7 +234,7 @@ def _shard_leaks(docs: DataFrame, index: Index, min_score: float, min_overlap: f
                         ("answer_overlap", pa.float64())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers: dict[bytes, int] = {}
+        numbers: dict[str, int] = {}
         for part, texts in text_slices(batches):
             if len(numbers) > REMEMBERED:
                 numbers = {}
@@ -235,10 +244,10 @@ def _shard_leaks(docs: DataFrame, index: Index, min_score: float, min_overlap: f
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
 
-    def searched(text: bytes, numbers: dict[bytes, int]) -> list[tuple]:
-        raw = text.split()
+    def searched(text: bytes, numbers: dict[str, int]) -> list[tuple]:
+        raw = raw_words(text.decode())
         for w in set(raw).difference(numbers):
-            plain = plain_word(w.decode())
+            plain = plain_word(w)
             numbers[w] = index.numbers.get(plain, -1) if plain else -2
         known = np.fromiter(map(numbers.__getitem__, raw), np.int64, len(raw))
         places = np.flatnonzero(known != -2)  # what holds no letter isn't a word
@@ -257,7 +266,7 @@ def _shard_leaks(docs: DataFrame, index: Index, min_score: float, min_overlap: f
             for item, score in index.search(own[own >= 0].tolist(), min_score):
                 if item in best and best[item][2] >= score:
                     continue
-                words = [plain_word(raw[p].decode()) for p in places[start:start + 2 * half + 1]]
+                words = [plain_word(raw[p]) for p in places[start:start + 2 * half + 1]]
                 shares = index.overlaps(item, words)
                 if min(shares) >= min_overlap:
                     best[item] = (index.ids[item], int(places[start]), score, *shares)

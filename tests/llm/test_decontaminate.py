@@ -85,3 +85,24 @@ def test_shards_agree(spark, sf_dir, monkeypatch):
     whole = {(r.doc_id, r.item_id) for r in dc.leaks(spark, docs, items).collect()}
     monkeypatch.setattr(dc, "SHARD_ITEMS", 15)
     assert {(r.doc_id, r.item_id) for r in dc.leaks(spark, docs, items).collect()} == whole
+
+
+@pytest.mark.parametrize("space", [" ", "　", " ", " "])
+def test_white_space_of_unicode(spark, space):
+    """The same words between other spaces, in the item, the document or both, are the same text."""
+    item = "What is the tallest mountain of the small island? It is the grey one in the north."
+    filler = " ".join(f"x{i}" for i in range(40))
+    other = item.replace(" ", space)
+    docs = spark.createDataFrame([(1, f"{filler} {item} {filler}"), (2, f"{filler}{space}{other}"), (3, filler)], "doc_id long, text string")
+    for text in (item, other):
+        benchmark = spark.createDataFrame([(1, text)], "item_id long, text string")
+        assert sorted(r.doc_id for r in dc.leaks(spark, docs, benchmark).collect()) == [1, 2]
+
+
+@pytest.mark.parametrize("item", ["这座小岛上最高的山叫什么名字？北边那座灰色的山。", "この島で一番高い山は何ですか。北にある灰色の山です。",
+                                  "ภูเขาที่สูงที่สุดบนเกาะเล็กคืออะไร ภูเขาสีเทาทางเหนือ"])
+def test_scripts_without_spaces(spark, item):
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = spark.createDataFrame(
+        [(1, f"前文{item}后文"), (2, "今天天气很好，我们去公园散步。" * 5), (3, f"some words {item[:4]} and more")], "doc_id long, text string")
+    assert [r.doc_id for r in dc.leaks(spark, docs, benchmark).collect()] == [1]
