@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -11,9 +12,12 @@ from pyspark.sql import functions as F
 from courtlake.llm import decontaminate, masked_lm, quality, simhash, surrogates
 from courtlake.llm.common import documents
 from courtlake.llm.line_dedup import dedup_lines
+from courtlake.llm.minhash import minhash_groups
 from courtlake.llm.packing import pack
 from courtlake.llm.repetition import repetition
+from courtlake.llm.runs import periodic_runs, runs_text, strongest
 from courtlake.llm.token_file import token_digests, write_tokens
+from courtlake.llm.trie import number_turns, prefix_trie, with_shared_openings
 from courtlake.llm.warc import look_up, write_archive
 from courtlake.session import shared_dir
 
@@ -124,3 +128,104 @@ def op8_bm25_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return surrogates.replace_entities(spark, docs, key="op6")
+
+
+def planted_cycle(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words; of each tenth document or so, by its checksum, a tail that repeats its own start."""
+    h, n = (1 if doc_id is None else zlib.crc32(str(doc_id).encode())), len(words)
+    if h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    period = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % period] for i in range(a, n)]
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(documents(spark, sf_dir), planted_cycle)
+    best = F.col("best")
+    return found.withColumn("best", strongest(F.col("runs"))).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best.start.alias("start"),
+        best.length.alias("length"), best.period.alias("period"),
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(runs_text(F.col("runs")).cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+@query
+def op12_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_groups(spark, documents(spark, sf_dir))
+
+
+ORACLES["op12_minhash_near_dedup"] = r"""
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents),
+s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS shingle FROM d),
+n AS MATERIALIZED (
+  SELECT d.doc_id, count(shingle) AS n FROM d LEFT JOIN s USING (doc_id) GROUP BY d.doc_id),
+i AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM s a JOIN s b USING (shingle)
+  WHERE a.doc_id < b.doc_id GROUP BY ALL),
+l AS MATERIALIZED (
+  SELECT i.a, i.b FROM i JOIN n x ON x.doc_id = i.a JOIN n y ON y.doc_id = i.b
+  WHERE 100 * i.n >= 80 * (x.n + y.n - i.n)),
+e AS MATERIALIZED (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (
+  SELECT doc_id, doc_id AS root FROM n
+  UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.doc_id)
+SELECT n.doc_id, n.n AS n_shingles, min(root) AS component_id, min(root) = n.doc_id AS kept
+FROM n JOIN r USING (doc_id) GROUP BY n.doc_id, n.n
+"""
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = number_turns(spark, spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return prefix_trie(spark, *with_shared_openings(spark, turns))
+
+
+ORACLES["op13_prefix_trie"] = """
+WITH o AS MATERIALIZED (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS p
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS MATERIALIZED (
+  SELECT conv_id, conv_id - conv_id % 100 AS source, xor(4294967295, list_reduce(
+    list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+    lambda crc, x: list_reduce(range(8), lambda y, i: xor(y >> 1, 3988292384 * (y & 1)), xor(crc, x)),
+    4294967295)) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM o)),
+t AS MATERIALIZED (
+  SELECT c.conv_id, 0 AS own, p, role, text FROM c JOIN o ON o.conv_id = c.source AND p < h
+  UNION ALL SELECT c.conv_id, 1, p, role, text FROM c JOIN o USING (conv_id) WHERE p >= h),
+q AS MATERIALIZED (
+  SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY own, p) AS depth FROM t),
+k AS MATERIALIZED (
+  SELECT conv_id, depth, length(text) AS chars,
+    list({'r': role, 't': text}) OVER (PARTITION BY conv_id ORDER BY depth) AS path FROM q
+  UNION ALL SELECT conv_id, 0, 0, [] FROM c),
+m AS MATERIALIZED (
+  SELECT conv_id, depth, chars, min(conv_id) OVER w AS node, count(*) OVER w AS n,
+    max(depth) OVER (PARTITION BY conv_id) AS size
+  FROM k WINDOW w AS (PARTITION BY depth, path)),
+v AS MATERIALIZED (
+  SELECT node, depth, any_value(n) AS n, any_value(chars) AS chars,
+    string_agg(CASE WHEN size = depth THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id) AS ends
+  FROM m GROUP BY node, depth),
+u AS MATERIALIZED (
+  SELECT v.*, a.node AS parent FROM v LEFT JOIN m a ON a.conv_id = v.node AND a.depth = v.depth - 1),
+x AS MATERIALIZED (
+  SELECT u.*, count(b.node) AS n_children FROM u LEFT JOIN u b ON b.parent = u.node AND b.depth = u.depth + 1
+  GROUP BY ALL),
+z AS (
+  SELECT a.node, a.depth, count(*) FILTER (x.n_children = 0) AS n_leaves, sum((x.n - 1) * x.chars) AS saved
+  FROM x JOIN m a ON a.conv_id = x.node AND a.depth <= x.depth GROUP BY a.node, a.depth)
+SELECT node AS conv_id, CAST(depth AS BIGINT) AS depth, parent AS parent_conv_id, n AS n_convs, n_children,
+  n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(ends, '')) AS ends_sha256
+FROM x JOIN z USING (node, depth)
+"""
