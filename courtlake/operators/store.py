@@ -1,9 +1,8 @@
 """The gold tables as Parquet, with keyed merges.
 
-Every table is split by a hash of its first key column (``_bucket``). A merge
-reads only the buckets its source touches, writes their new content beside the
-table, and then swaps folders one by one. The finished copy stays until the
-last swap, so a merge cut off at any point is completed by the next call.
+Every table is split by a hash of its first key column. A merge stages its source once, reads and
+rewrites only the buckets that the source touches, and commits them as one snapshot
+(:mod:`courtlake.operators.snapshots`): readers see all of a merge or nothing of it.
 One writer per table at a time.
 """
 
@@ -17,16 +16,19 @@ from pyspark.sql import functions as F
 
 from courtlake import schemas
 from courtlake.functions.numbers import store_char, store_decimal, store_int
-from courtlake.operators.refs import Reference, all_references, fk_filter, fk_flags
+from courtlake.operators.refs import Reference, all_references, fk_flags
 from courtlake.operators.sinks import play_order
+from courtlake.operators.snapshots import BUCKET, SnapshotTable, bucket_of
 from courtlake.operators.upsert import new_rows, upsert
 from courtlake.schemas import GOLD, GoldTable
-from courtlake.sources.files import child_names, file_system, path_exists
+from courtlake.session import shared_dir
+from courtlake.sources.files import path_exists
 
-BUCKET = "_bucket"
 # Hidden date of a stored row. Of a dimension row: the date whose box score first
 # brought it, null when a dimension load did. Of a dated fact: the date it is from.
 AS_OF = "_as_of"
+# Of a source row: it was counted by an earlier load already.
+AGAIN = "_again"
 
 
 @dataclass(frozen=True)
@@ -39,14 +41,14 @@ class GoldStore:
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def staging(self, table: str) -> str:
-        return f"{self.root}/_staging/{table}"
+    def snapshots(self, table: str) -> SnapshotTable:
+        return SnapshotTable(self.spark, self.path(table), f"{GOLD[table].schema}, {AS_OF} date")
 
     def buckets(self, table: str) -> int:
         return self.dimension_buckets if table in schemas.DIMENSIONS else self.fact_buckets
 
     def bucket_of(self, table: str) -> Column:
-        return F.pmod(F.hash(GOLD[table].primary_key[0]), F.lit(self.buckets(table)))
+        return bucket_of(GOLD[table].primary_key[0], self.buckets(table))
 
 
 def create_tables(spark: SparkSession, root: str, fact_buckets: int = 64,
@@ -62,11 +64,8 @@ def create_tables(spark: SparkSession, root: str, fact_buckets: int = 64,
         ).coalesce(1).write.mode("overwrite").json(layout)
     kept = spark.read.schema("fact_buckets int, dimension_buckets int").json(layout).first()
     store = GoldStore(spark, root, kept.fact_buckets, kept.dimension_buckets)
-    for table, spec in GOLD.items():
-        if not path_exists(spark, store.path(table)):
-            empty = spark.createDataFrame([], f"{spec.schema}, {AS_OF} date, {BUCKET} int")
-            empty.write.mode("append").partitionBy(BUCKET).parquet(store.path(table))
-        _finish_swap(store, table)
+    for table in GOLD:
+        store.snapshots(table).create()
     return store
 
 
@@ -74,9 +73,8 @@ def scan_gold(store: GoldStore, table: str) -> DataFrame:
     return _scan_buckets(store, table).drop(BUCKET, AS_OF)
 
 
-def _scan_buckets(store: GoldStore, table: str) -> DataFrame:
-    schema = f"{GOLD[table].schema}, {AS_OF} date, {BUCKET} int"
-    return store.spark.read.schema(schema).parquet(store.path(table))
+def _scan_buckets(store: GoldStore, table: str, buckets: list[int] | None = None) -> DataFrame:
+    return store.snapshots(table).scan(buckets)
 
 
 def typed_store(df: DataFrame, table: GoldTable) -> DataFrame:
@@ -118,39 +116,78 @@ def references_of(store: GoldStore, table: str, dated: bool = False) -> list[Ref
     ]
 
 
+def unstorable(df: DataFrame, table: GoldTable) -> Column:
+    """Why a row can't be stored: the columns whose values their types don't hold; null if none."""
+    kinds, found = dict(df.dtypes), []
+    for name in df.columns:
+        kind, column = table.columns.get(name), F.col(name)
+        if kind is None or kind == kinds[name]:
+            continue
+        if kind.startswith("char"):
+            bad = F.length(F.rtrim(column)) > int(kind[5:-1])
+        else:
+            number = kinds[name] in ("double", "float")
+            stored = F.rint(column) if kind == "int" and number else column
+            bad = column.isNotNull() & stored.try_cast(kind).isNull()
+            bad = bad & ~F.isnan(column) if number else bad
+        found.append(F.when(bad, f"{name}: no {kind}"))
+    return F.nullif(F.concat_ws(", ", *found), F.lit("")) if found else F.lit(None).cast("string")
+
+
 def merge_table(store: GoldStore, table: str, source: DataFrame,
-                reduce: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
+                reduce: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+                rejects: list[DataFrame] | None = None) -> DataFrame:
     """Upsert ``source`` into a stored table; returns (table, staged, loaded, dropped).
 
     ``reduce`` leaves one row per key among those that pass the references.
     Columns of ``source`` that the table lacks serve these two steps only; of these
     ``game_date`` is also kept as the row's date: a fact never gives way to one of
-    an earlier date, in whatever order they are loaded. An empty source writes nothing.
+    an earlier date, in whatever order they are loaded. Rows marked ``_again`` are
+    merged but not counted. An empty source writes nothing.
+
+    A value that its column can't hold fails the merge; where a list of ``rejects`` is given,
+    its row is left out instead, and (source columns, ``_reason``, ``_raw``) are added to the list.
     """
     spec = GOLD[table]
-    _finish_swap(store, table)
     dated = "game_date" in source.columns and "game_date" not in spec.columns
     references = references_of(store, table, dated)
-    typed = typed_store(source, spec)
+    if rejects is None:
+        typed = typed_store(source, spec)
+    else:
+        fits = F.col("_reason").isNull()
+        marked = source.withColumn("_reason", unstorable(source, spec))
+        raw = F.when(~fits, F.to_json(F.struct(*[F.col(c) for c in source.columns if c in spec.columns])))
+        marked = marked.withColumn("_raw", raw)
+        # A row that doesn't fit gives up its values before they are cast.
+        typed = typed_store(marked.select(*[
+            F.when(fits, F.col(c)).alias(c) if c in spec.columns and c not in spec.primary_key[:1] else F.col(c)
+            for c in marked.columns]), spec)
+    # The source is computed once, with a flag for each reference; all else reads this copy.
+    passes = all_references(references) & (F.col("_reason").isNull() if rejects is not None else F.lit(True))
+    path = shared_dir(store.spark, f"staged-{table}")
     flagged = fk_flags(typed, references).select(
-        store.bucket_of(table).alias(BUCKET), all_references(references).alias("_ok")
-    )
-    # One row per bucket: both the counts and the list of touched buckets.
-    per_bucket = flagged.groupBy(BUCKET).agg(
-        F.count(F.lit(1)).alias("staged"), F.count_if("_ok").alias("loaded")
+        *typed.columns, store.bucket_of(table).alias(BUCKET), passes.alias("_ok"))
+    flagged.write.parquet(path)
+    staged_rows = store.spark.read.schema(flagged.schema).parquet(path)
+    counted = ~F.col(AGAIN) if AGAIN in source.columns else F.lit(True)
+    per_bucket = staged_rows.groupBy(BUCKET).agg(
+        F.count_if(counted).alias("staged"), F.count_if(counted & F.col("_ok")).alias("loaded"),
+        F.count_if("_ok").alias("merged"),
+        *([F.count("_reason").alias("bad")] if rejects is not None else []),
     ).collect()
     staged, loaded = sum(r.staged for r in per_bucket), sum(r.loaded for r in per_bucket)
-    touched = sorted(r[BUCKET] for r in per_bucket if r.loaded)
+    touched = sorted(r[BUCKET] for r in per_bucket if r.merged)
+    if rejects is not None and any(r.bad for r in per_bucket):
+        rejects.append(staged_rows.where("_reason is not null"))
     if touched:
         supplied = [c for c in typed.columns if c in spec.columns]
         if set(supplied) - set(spec.primary_key):
             row_date = F.col("game_date") if dated else F.lit(None).cast("date")
             supplied.append(row_date.alias(AS_OF))
-        accepted = reduce(fk_filter(typed, references)).select(*supplied)
-        old = _scan_buckets(store, table).where(F.col(BUCKET).isin(touched)).drop(BUCKET)
+        accepted = reduce(staged_rows.where("_ok").drop("_ok", BUCKET)).select(*supplied)
+        old = _scan_buckets(store, table, touched).drop(BUCKET)
         merged = upsert(old, accepted, list(spec.primary_key), AS_OF if dated else None)
-        _write_buckets(store, table, merged, store.staging(table), "overwrite")
-        _finish_swap(store, table)
+        store.snapshots(table).replace(_placed(store, table, merged), touched)
     return store.spark.createDataFrame(
         [(table, staged, loaded, staged - loaded)],
         "table string, staged bigint, loaded bigint, dropped bigint",
@@ -163,7 +200,6 @@ def append_absent(store: GoldStore, table: str, stubs: DataFrame) -> None:
     A column ``since`` of the stubs becomes the rows' date.
     """
     spec = GOLD[table]
-    _finish_swap(store, table)
     known = scan_gold(store, table)
     fresh = new_rows(known, typed_store(stubs, spec), list(spec.primary_key))
     row_date = F.col("since") if "since" in stubs.columns else F.lit(None).cast("date")
@@ -171,7 +207,7 @@ def append_absent(store: GoldStore, table: str, stubs: DataFrame) -> None:
         F.col(c) if c in fresh.columns else F.lit(None).cast(t).alias(c)
         for c, t in spec.columns.items()
     ], row_date.alias(AS_OF))
-    _write_buckets(store, table, complete, store.path(table), "append")
+    store.snapshots(table).append(_placed(store, table, complete))
 
 
 def date_back(store: GoldStore, table: str, stubs: DataFrame) -> None:
@@ -180,16 +216,14 @@ def date_back(store: GoldStore, table: str, stubs: DataFrame) -> None:
     Rows of a dimension load stay as they are. Nothing is written when none is earlier.
     """
     spec = GOLD[table]
-    _finish_swap(store, table)
     key = spec.primary_key[0]
     held = _scan_buckets(store, table).select(F.col(key).alias("_held"), F.col(AS_OF).alias("_from"))
     typed = typed_store(stubs, spec).withColumnRenamed("since", AS_OF)
     earlier = typed.join(held, (F.col(key) == F.col("_held")) & (F.col(AS_OF) < F.col("_from")), "left_semi")
     touched = [r[0] for r in earlier.select(store.bucket_of(table)).distinct().collect()]
     if touched:
-        old = _scan_buckets(store, table).where(F.col(BUCKET).isin(touched)).drop(BUCKET)
-        _write_buckets(store, table, upsert(old, earlier, [key]), store.staging(table), "overwrite")
-        _finish_swap(store, table)
+        old = _scan_buckets(store, table, touched).drop(BUCKET)
+        store.snapshots(table).replace(_placed(store, table, upsert(old, earlier, [key])), touched)
 
 
 def brought_by(store: GoldStore, table: str, dates: DataFrame) -> DataFrame:
@@ -199,33 +233,7 @@ def brought_by(store: GoldStore, table: str, dates: DataFrame) -> DataFrame:
     return rows.join(dates.select(F.col("game_date").alias("since")).distinct(), "since", "left_semi")
 
 
-def _write_buckets(store: GoldStore, table: str, df: DataFrame, path: str, mode: str) -> None:
+def _placed(store: GoldStore, table: str, df: DataFrame) -> DataFrame:
+    """Rows with their bucket, dealt out for few files per bucket."""
     placed = df.withColumn(BUCKET, store.bucket_of(table)).hint("rebalance", BUCKET)
-    if table == "fact_play_by_play":
-        placed = placed.sortWithinPartitions(BUCKET, *play_order())
-    placed.write.mode(mode).partitionBy(BUCKET).parquet(path)
-    store.spark.catalog.refreshByPath(path)
-
-
-def _finish_swap(store: GoldStore, table: str) -> None:
-    """Move a complete staged copy into the table, bucket by bucket.
-
-    A bucket still in staging is the newer one, so repeating this after a
-    failure is safe. A staged copy without its success mark is ignored; the next
-    merge overwrites it.
-    """
-    staging, path = store.staging(table), store.path(table)
-    if not path_exists(store.spark, f"{staging}/_SUCCESS"):
-        return
-    for name in child_names(store.spark, staging):
-        if not name.startswith(f"{BUCKET}="):
-            continue
-        fs, source = file_system(store.spark, f"{staging}/{name}")
-        _, target = file_system(store.spark, f"{path}/{name}")
-        if fs.exists(target):
-            fs.delete(target, True)
-        if not fs.rename(source, target):
-            raise OSError(f"could not move {staging}/{name} into {path}")
-    fs, source = file_system(store.spark, staging)
-    fs.delete(source, True)
-    store.spark.catalog.refreshByPath(path)
+    return placed.sortWithinPartitions(BUCKET, *play_order()) if table == "fact_play_by_play" else placed

@@ -11,7 +11,7 @@ from courtlake.functions.numbers import coerce_double, zero_to_null
 from courtlake.operators.dedupe import drop_null_key, keep_first
 from courtlake.operators.flatten import conform
 from courtlake.operators.store import (
-    GoldStore, append_absent, brought_by, date_back, merge_table, references_of, typed_store,
+    AGAIN, GoldStore, append_absent, brought_by, date_back, merge_table, references_of, typed_store,
 )
 from courtlake.operators.refs import fk_rejects
 from courtlake.schemas import FACT_DATASETS, GOLD, GOLD_FROM_SILVER
@@ -109,7 +109,8 @@ def load_team_stats(store: GoldStore, team_games: DataFrame) -> DataFrame:
 
 
 def load_facts(spark: SparkSession, store: GoldStore, silver: dict[str, DataFrame],
-               later: dict[str, DataFrame] | None = None) -> DataFrame:
+               later: dict[str, DataFrame] | None = None,
+               rejects: list[DataFrame] | None = None) -> DataFrame:
     """Stub dimensions, then the three dated facts, for all dates in ``silver``.
 
     The result does not depend on how dates are batched, in which order they are
@@ -117,7 +118,8 @@ def load_facts(spark: SparkSession, store: GoldStore, silver: dict[str, DataFram
     latest, and a fact does not see a stub that only a later date brings. Both
     dates are stored with the rows. ``later`` holds silver rows of dates that are
     loaded already and come after the first of these: those that refer to a stub
-    of the present dates are tried again.
+    of the present dates are tried again; the counts are those of the present dates.
+    ``rejects`` gets the rows whose values can't be stored (see :func:`merge_table`).
     """
     seen_again: dict[str, DataFrame] = {}
     if "boxscores" in silver:
@@ -134,21 +136,25 @@ def load_facts(spark: SparkSession, store: GoldStore, silver: dict[str, DataFram
         if dataset in silver:
             rows = fact_rows(silver[dataset], table)
             if seen_again and later and dataset in later:
-                rows = rows.unionByName(_referring(fact_rows(later[dataset], table), table, seen_again))
-            counts.append(load_fact(store, table, rows))
+                retried = _referring(fact_rows(later[dataset], table), table, seen_again)
+                rows = rows.withColumn(AGAIN, F.lit(False)).unionByName(retried.withColumn(AGAIN, F.lit(True)))
+            counts.append(load_fact(store, table, rows, rejects))
     return _counts(counts)
 
 
 def _referring(rows: DataFrame, table: str, brought: dict[str, DataFrame]) -> DataFrame:
     """Rows of a fact, on or after its date, that refer to one of these dimension rows."""
-    found = None
+    found = []
     for column, dimension, key in GOLD[table].references:
         if dimension in brought:
-            keys = brought[dimension].select(F.col(key).alias("_brought"), "since")
-            match = (F.col(column) == F.col("_brought")) & (F.col("since") <= F.col("game_date"))
-            own = rows.join(keys, match, "left_semi")
-            found = own if found is None else found.unionByName(own)
-    return rows.limit(0) if found is None else found
+            # A dimension has one row for each key, so no row of the fact is doubled.
+            keys = brought[dimension].select(F.col(key).alias("_brought"), F.col("since").alias("_since"))
+            rows = rows.join(keys, (F.col(column) == F.col("_brought")) & (F.col("_since") <= F.col("game_date")), "left")
+            found.append(f"_hit_{dimension}")
+            rows = rows.withColumn(found[-1], F.col("_brought").isNotNull()).drop("_brought", "_since")
+    if not found:
+        return rows.limit(0)
+    return rows.where(" or ".join(found)).drop(*found)
 
 
 def fact_rejects(store: GoldStore, table: str, silver: DataFrame) -> DataFrame:
@@ -157,8 +163,9 @@ def fact_rejects(store: GoldStore, table: str, silver: DataFrame) -> DataFrame:
     return fk_rejects(rows, references_of(store, table, dated=True), table)
 
 
-def load_fact(store: GoldStore, table: str, rows: DataFrame) -> DataFrame:
-    return merge_table(store, table, rows, reduce=lambda kept: last_load(kept, table))
+def load_fact(store: GoldStore, table: str, rows: DataFrame,
+              rejects: list[DataFrame] | None = None) -> DataFrame:
+    return merge_table(store, table, rows, reduce=lambda kept: last_load(kept, table), rejects=rejects)
 
 
 def _counts(frames: list[DataFrame]) -> DataFrame:
