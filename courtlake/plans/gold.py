@@ -110,7 +110,7 @@ def load_team_stats(store: GoldStore, team_games: DataFrame) -> DataFrame:
 
 def load_facts(spark: SparkSession, store: GoldStore, silver: dict[str, DataFrame],
                later: dict[str, DataFrame] | None = None,
-               rejects: list[DataFrame] | None = None) -> DataFrame:
+               rejects: dict[str, list[DataFrame]] | None = None) -> DataFrame:
     """Stub dimensions, then the three dated facts, for all dates in ``silver``.
 
     The result does not depend on how dates are batched, in which order they are
@@ -119,7 +119,7 @@ def load_facts(spark: SparkSession, store: GoldStore, silver: dict[str, DataFram
     dates are stored with the rows. ``later`` holds silver rows of dates that are
     loaded already and come after the first of these: those that refer to a stub
     of the present dates are tried again; the counts are those of the present dates.
-    ``rejects`` gets the rows whose values can't be stored (see :func:`merge_table`).
+    ``rejects`` gets the rows whose values can't be stored, per table (see :func:`merge_table`).
     """
     seen_again: dict[str, DataFrame] = {}
     if "boxscores" in silver:
@@ -138,7 +138,8 @@ def load_facts(spark: SparkSession, store: GoldStore, silver: dict[str, DataFram
             if seen_again and later and dataset in later:
                 retried = _referring(fact_rows(later[dataset], table), table, seen_again)
                 rows = rows.withColumn(AGAIN, F.lit(False)).unionByName(retried.withColumn(AGAIN, F.lit(True)))
-            counts.append(load_fact(store, table, rows, rejects))
+            unfit = None if rejects is None else rejects.setdefault(table, [])
+            counts.append(load_fact(store, table, rows, unfit))
     return _counts(counts)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courtlake.functions.dates import date_range
-from courtlake.operators import report, worklist
+from courtlake.operators import ledger, report, worklist
 from courtlake.operators.contracts import empty_report, validation_report
 from courtlake.operators.store import GoldStore, scan_gold
 from courtlake.plans.gold import load_dimensions, load_facts, load_team_stats
@@ -16,30 +16,82 @@ from courtlake.plans.silver import (
     build_dims_silver, build_silver, scan_dims, scan_quarantine, scan_raw, validate_silver, write_silver,
 )
 from courtlake.schemas import DATASETS, DIMENSIONS, FACTS
-from courtlake.session import reliable_checkpoint, shared_dir
+from courtlake.session import reliable_checkpoint
 from courtlake.sources.documents import (
-    manifest_entries, require_manifests, scan_manifests, skip_no_game_days,
+    malformed_manifests, manifest_entries, require_manifests, scan_manifests, skip_no_game_days,
 )
 from courtlake.sources.tables import only_dates, scan_dim, scan_silver
 
 DocumentsOf = Callable[[SparkSession, DataFrame], dict[str, DataFrame]]
+#: (dataset, file_key, game_date, reason, text) of listed documents that can't be read; None for none.
+UnreadableOf = Callable[[SparkSession, DataFrame], DataFrame | None]
 
 
-def lake_documents(bronze_root: str) -> DocumentsOf:
-    """Documents of listed games from the folders of a raw lake."""
-    return lambda spark, entries: scan_raw(spark, bronze_root, entries)
+class LakeDocuments:
+    """Documents of listed games from the folders of a raw lake.
+
+    While they are read the unreadable ones are counted, and only datasets
+    that have any are read again for them.
+    """
+
+    def __init__(self, bronze_root: str):
+        self.bronze_root = bronze_root
+        self._corrupt: dict = {}
+
+    def __call__(self, spark: SparkSession, entries: DataFrame) -> dict[str, DataFrame]:
+        self._corrupt = {}
+        return scan_raw(spark, self.bronze_root, entries, self._corrupt)
+
+    def unreadable(self, spark: SparkSession, entries: DataFrame) -> DataFrame | None:
+        """To be asked once the documents of the last call have been read."""
+        found = [dataset for dataset, seen in self._corrupt.items() if seen.get["n"]]
+        return scan_quarantine(spark, self.bronze_root, entries, found) if found else None
+
+
+def lake_documents(bronze_root: str) -> LakeDocuments:
+    return LakeDocuments(bronze_root)
 
 
 def process_dates(spark: SparkSession, entries: DataFrame, docs: dict[str, DataFrame],
-                  silver_root: str, store: GoldStore) -> tuple[DataFrame, DataFrame]:
+                  silver_root: str, store: GoldStore, unreadable_of: UnreadableOf | None = None,
+                  run: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Raw documents -> silver -> gold for all listed games at once.
 
-    Returns (contract results, load counts).
+    What can't be used is kept in the rejects: documents that can't be read, rows with unusable ids,
+    values that gold can't store. The rest is loaded. The ledger, written last, says which
+    dates are done (see :mod:`courtlake.operators.ledger`). Returns (contract results, load counts).
     """
-    write_silver(build_silver(entries, docs), silver_root)
+    run = run or ledger.new_run()
+    built = build_silver(entries, docs)
+    write_silver(built, silver_root)
+    rejects = built.rejects()
+    bad = unreadable_of(spark, entries) if unreadable_of else None
+    if bad is not None:
+        rejects.append(ledger.reject_rows(bad, ledger.DATES, None, F.col("reason"), True))
+    ledger.keep_rejects(spark, silver_root, run, rejects)
     silver = silver_of_dates(spark, silver_root, entries)
     later = later_silver(spark, silver_root, entries)
-    return validate_silver(silver), load_facts(spark, store, silver, later)
+    unfit: dict[str, list[DataFrame]] = {}
+    counts = load_facts(spark, store, silver, later, unfit)
+    ledger.keep_rejects(spark, silver_root, run, [
+        ledger.reject_rows(rows, ledger.DATES, table, F.col("_reason"), True, file_key="game_id",
+                           row_pos="_row_pos", text="_raw")
+        for table, found in unfit.items() for rows in found])
+    dates = entries.select("game_date")
+    outcomes = ledger.date_outcomes(spark, silver_root, run, dates, worklist.silver_dates(spark, silver_root))
+    ledger.record(spark, silver_root, run, outcomes)
+    return validate_silver(silver), counts
+
+
+def keep_manifests_rejects(spark: SparkSession, silver_root: str, bad: DataFrame) -> None:
+    """Keep ``bad(file_key, text)``, manifests that can't be read, as a run of their own."""
+    run = ledger.new_run()
+    ledger.keep_rejects(spark, silver_root, run, [ledger.reject_rows(
+        bad, ledger.MANIFESTS, "manifests", F.lit("malformed"), True, game_date=None)])
+    n = ledger.scan_rejects(spark, silver_root, run).count()
+    ledger.record(spark, silver_root, run, spark.createDataFrame(
+        [(ledger.MANIFESTS, None, ledger.FAILED if n else ledger.DONE, f"{n} manifests" if n else None)],
+        "scope string, game_date date, state string, reason string"))
 
 
 def later_silver(spark: SparkSession, silver_root: str, entries: DataFrame) -> dict[str, DataFrame] | None:
@@ -97,7 +149,8 @@ def process_date(spark: SparkSession, manifests: DataFrame, documents_of: Docume
     entries = manifest_entries(skip_no_game_days(require_manifests(wanted, manifests)))
     if entries.isEmpty():
         return None
-    return process_dates(spark, entries, documents_of(spark, entries), silver_root, store)
+    return process_dates(spark, entries, documents_of(spark, entries), silver_root, store,
+                         getattr(documents_of, "unreadable", None))
 
 
 def refresh_dimensions(spark: SparkSession, player_items: DataFrame, team_docs: DataFrame,
@@ -141,33 +194,38 @@ def plan_backfill(dates: DataFrame, manifests: DataFrame, written: DataFrame,
 
 def backfill(spark: SparkSession, manifests: DataFrame, documents_of: DocumentsOf,
              silver_root: str, store: GoldStore, dates: DataFrame, force: bool = False,
-             quarantine_of: DocumentsOf | None = None) -> tuple[DataFrame, DataFrame | None]:
-    """All pending dates of a range in one batch; returns (summary, contract results).
+             unreadable_of: UnreadableOf | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """All pending dates of a range in one batch; returns (summary, contract results)."""
+    statuses, results = backfill_dates(spark, manifests, documents_of, silver_root, store, dates, force, unreadable_of)
+    return worklist.backfill_summary(statuses), results
+
+
+def backfill_dates(spark: SparkSession, manifests: DataFrame, documents_of: DocumentsOf,
+                   silver_root: str, store: GoldStore, dates: DataFrame, force: bool = False,
+                   unreadable_of: UnreadableOf | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """As :func:`backfill`, with (game_date, status) of every date in place of the summary.
 
-    The results are None when no pending date has games. ``quarantine_of`` gives the
-    listed documents that can't be read: they are kept beside the silver tables, and
-    their dates count as failed, while what could be read of them is loaded.
+    A date is done when the ledger says so or its manifest is empty. Dates of which
+    something could not be read or stored count as failed, in this run and in every later one
+    until they are mended, while what could be used of them is loaded. The results
+    are None when no pending date has games.
     """
     statuses = reliable_checkpoint(
-        spark, plan_backfill(dates, manifests, worklist.silver_dates(spark, silver_root), force))
+        spark, plan_backfill(dates, manifests, ledger.done_in_ledger(spark, silver_root), force))
     work = manifests.join(
         statuses.where("status = 'processed'").select("game_date"), "game_date", "left_semi"
     )
     entries = manifest_entries(skip_no_game_days(work))
-    results = None
-    if not entries.isEmpty():
-        results, _ = process_dates(
-            spark, entries, documents_of(spark, entries), silver_root, store
-        )
-        if quarantine_of is not None:
-            path = shared_dir(spark, "quarantine")
-            quarantine_of(spark, entries).write.parquet(path)
-            kept = spark.read.parquet(path)
-            kept.write.mode("append").parquet(f"{silver_root}/_quarantine")
-            broken = kept.select("game_date").distinct().withColumn("_broken", F.lit(True))
-            statuses = statuses.join(broken, "game_date", "left").select(
-                "game_date", F.when(F.col("_broken"), "failed").otherwise(F.col("status")).alias("status"))
-    return worklist.backfill_summary(statuses), results
+    if entries.isEmpty():
+        return statuses, None
+    run = ledger.new_run()
+    results, _ = process_dates(spark, entries, documents_of(spark, entries), silver_root, store,
+                               unreadable_of or getattr(documents_of, "unreadable", None), run)
+    mine = (F.col("run") == run) & (F.col("state") == ledger.FAILED)
+    failed = ledger.scan_ledger(spark, silver_root).where(mine).select(
+        "game_date", F.lit(True).alias("_failed"))
+    return statuses.join(failed, "game_date", "left").select(
+        "game_date", F.when(F.col("_failed"), "failed").otherwise(F.col("status")).alias("status")), results
 
 
 def backfill_lake(spark: SparkSession, bronze_root: str, silver_root: str, store: GoldStore,
@@ -184,10 +242,10 @@ def backfill_lake(spark: SparkSession, bronze_root: str, silver_root: str, store
             store, scan_dim(spark, f"{silver_root}/players"),
             scan_dim(spark, f"{silver_root}/teams"), with_games=False,
         )
+    keep_manifests_rejects(spark, silver_root, malformed_manifests(spark, f"{bronze_root}/manifests"))
     summary, results = backfill(
         spark, scan_manifests(spark, f"{bronze_root}/manifests"), lake_documents(bronze_root),
         silver_root, store, date_range(spark, start, end), force,
-        lambda session, entries: scan_quarantine(session, bronze_root, entries),
     )
     if results is not None:
         checked.append(results)

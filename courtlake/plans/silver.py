@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -15,6 +15,7 @@ from courtlake.functions.numbers import (
     cast_int_strict, coerce_double, coerce_long, is_unsafe_long, truthy_bool, truthy_number,
 )
 from courtlake.functions.text import extras, strip_text
+from courtlake.operators import ledger
 from courtlake.operators.contracts import check_contract
 from courtlake.operators.dedupe import keep_first
 from courtlake.operators.flatten import flatten_sides, open_columns, player_columns
@@ -29,10 +30,23 @@ PLACE = ["season", "game_date", "_manifest_pos", "_row_pos"]
 
 @dataclass(frozen=True)
 class Silver:
-    """Typed rows per dataset, and the rows kept out for an id that is a fraction."""
+    """Typed rows per dataset, and the rows kept out for an id that is a fraction.
+
+    ``bad`` counts the latter while ``rows`` are written, so that only datasets that
+    have any are decoded again for them.
+    """
 
     rows: dict[str, DataFrame]
     quarantine: dict[str, DataFrame]
+    bad: dict[str, Observation]
+
+    def rejects(self) -> list[DataFrame]:
+        """The rows kept out, once ``rows`` have been written."""
+        return [
+            ledger.reject_rows(self.quarantine[d], ledger.DATES, d, F.lit("an id is no integer"), False,
+                               file_key="GAME_ID", row_pos="_row_pos", text="_raw")
+            for d, seen in self.bad.items() if seen.get["bad"]
+        ]
 
 
 def _placed(docs: DataFrame) -> list[Column]:
@@ -49,6 +63,11 @@ def _any(conditions: list[Column]) -> Column:
     return flag
 
 
+def _bad_row(bad: Column, fields: list[str]) -> list[Column]:
+    """``_bad``, and for a bad row its fields as they came, in ``_raw``."""
+    return [bad.alias("_bad"), F.when(bad, F.to_json(F.struct(*fields))).alias("_raw")]
+
+
 def boxscore_rows(docs: DataFrame) -> DataFrame:
     """One row per player of listed box scores, with ``_bad`` for unusable ids."""
     players = flatten_sides(docs.select("game_id", "game_date", "manifest_pos", "boxScoreAdvanced"))
@@ -65,7 +84,7 @@ def boxscore_rows(docs: DataFrame) -> DataFrame:
         *PLACE, F.col("game_id").alias("GAME_ID"),
         *[coerce_long(n).alias(n) if n in ids else F.col(n) for n in base],
         F.col("minutes"), *[coerce_double(n).alias(n) for n in numeric], "extras",
-        _any([is_unsafe_long(n) for n in ids]).alias("_bad"),
+        *_bad_row(_any([is_unsafe_long(n) for n in ids]), list(base)),
     )
 
 
@@ -85,7 +104,7 @@ def action_rows(docs: DataFrame) -> DataFrame:
         *_placed(docs), F.col("game_id").alias("GAME_ID"),
         *[c.alias(n) for n, c in typed.items()],
         clock_seconds("clock").alias("clock_seconds"), "extras",
-        _any([is_unsafe_long(n) for n in longs]).alias("_bad"),
+        *_bad_row(_any([is_unsafe_long(n) for n in longs]), list(schemas.ACTION_FIELDS)),
     )
 
 
@@ -110,7 +129,7 @@ def shot_rows(docs: DataFrame) -> DataFrame:
     typed[schemas.SHOT_DATE] = parse_date(schemas.SHOT_DATE)
     return raw.select(
         *PLACE, F.col("game_id").alias("GAME_ID"), *[c.alias(n) for n, c in typed.items()],
-        "extras", _any([F.col("_misfit"), *[is_unsafe_long(n) for n in longs]]).alias("_bad"),
+        "extras", *_bad_row(_any([F.col("_misfit"), *[is_unsafe_long(n) for n in longs]]), names),
     )
 
 
@@ -124,7 +143,7 @@ def build_silver(entries: DataFrame, docs: dict[str, DataFrame], strict: bool =
     documents per dataset. A row whose id is a fraction goes to quarantine, or
     fails the query when ``strict``. The first row of a key within a game wins.
     """
-    rows, quarantine = {}, {}
+    rows, quarantine, bad = {}, {}, {}
     listed = listed_games(entries)
     for dataset, convert in CONVERTERS.items():
         if dataset not in docs:
@@ -134,12 +153,14 @@ def build_silver(entries: DataFrame, docs: dict[str, DataFrame], strict: bool =
         if strict:
             message = F.concat(F.lit(f"{dataset}: an id of this game is no integer: "), "GAME_ID")
             checked = F.when(F.col("_bad"), F.raise_error(message).cast("boolean"))
-            good = converted.where(F.coalesce(checked, F.lit(True))).drop("_bad")
+            good = converted.where(F.coalesce(checked, F.lit(True))).drop("_bad", "_raw")
         else:
-            good = converted.where(~F.col("_bad")).drop("_bad")
+            bad[dataset] = Observation()
+            observed = converted.drop("_raw").observe(bad[dataset], F.count_if("_bad").alias("bad"))
+            good = observed.where(~F.col("_bad")).drop("_bad")
         keys = ["season", "game_date", *SILVER_KEYS[dataset]]
         rows[dataset] = keep_first(good, keys, ["_manifest_pos", "_row_pos"])
-    return Silver(rows, quarantine)
+    return Silver(rows, quarantine, bad)
 
 
 def silver_layout(rows: DataFrame, dataset: str) -> DataFrame:
@@ -180,16 +201,17 @@ def players_table(items: DataFrame) -> DataFrame:
 
 
 def team_games_table(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Typed team histories and the files left out.
+    """Typed team histories, and (file_key, reason, text) of the files left out.
 
     ``docs`` holds (file_key, resultSets, _corrupt_record). A file fails as a
     whole when it is malformed, or a row of it does not fit its header, lacks an
     integer team id, or has a fraction where a count belongs. The first row of
     (GAME_ID, TEAM_ID) wins, in order of file name and row.
     """
-    unreadable = docs.where(
-        F.col(documents.CORRUPT).isNotNull() | F.get("resultSets", F.lit(0)).isNull()
-    ).select("file_key").distinct()
+    corrupt = F.col(documents.CORRUPT)
+    unreadable = docs.where(corrupt.isNotNull() | F.get("resultSets", F.lit(0)).isNull()).select(
+        "file_key", F.when(corrupt.isNotNull(), "malformed").otherwise("no result set").alias("reason"),
+        corrupt.alias("text"))
     rows = decode_resultset(docs.where(F.col(documents.CORRUPT).isNull()).drop(documents.CORRUPT))
     counts = ["PTS", *schemas.TEAM_COUNT_FIELDS]
     headers = [
@@ -217,7 +239,9 @@ def team_games_table(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         "*", *[F.get("_counts", F.lit(i)).alias(c) for i, c in enumerate(counts)]
     ).drop("_counts")
     table = keep_first(typed, ["GAME_ID", "TEAM_ID"], ["_file", "_row_pos"])
-    return table, unreadable.unionByName(failed_files).distinct()
+    rows_at_fault = failed_files.select(
+        "file_key", F.lit("a row does not fit").alias("reason"), F.lit(None).cast("string").alias("text"))
+    return table, unreadable.unionByName(rows_at_fault).distinct()
 
 
 def scan_players(spark: SparkSession, bronze_root: str) -> DataFrame:
@@ -234,13 +258,22 @@ def build_dims_silver(spark: SparkSession, player_items: DataFrame, team_docs: D
     Players or a team history of which nothing can be read are an error, and then
     neither table changes: both are written beside the old ones and looked at first.
     """
-    tables = {"players": players_table(player_items), "teams": team_games_table(team_docs)[0]}
+    team_games, failed = team_games_table(team_docs)
+    tables = {"players": players_table(player_items), "teams": team_games}
     staged = {name: stage_dim(rows, f"{silver_root}/{name}") for name, rows in tables.items()}
     for name, what in (("players", "player"), ("teams", "team history")):
         if spark.read.parquet(staged[name]).isEmpty():
             raise ValueError(f"no {what} could be read")
     for name, path in staged.items():
         switch_dim(spark, path, f"{silver_root}/{name}")
+    run = ledger.new_run()
+    ledger.keep_rejects(spark, silver_root, run, [ledger.reject_rows(
+        failed, ledger.DIMENSIONS, "teams", F.col("reason"), True, game_date=None)])
+    ledger.record(spark, silver_root, run, ledger.scan_rejects(spark, silver_root, run).agg(
+        F.count("*").alias("n")).select(
+        F.lit(ledger.DIMENSIONS).alias("scope"), F.lit(None).cast("date").alias("game_date"),
+        F.when(F.col("n") > 0, ledger.FAILED).otherwise(ledger.DONE).alias("state"),
+        F.when(F.col("n") > 0, F.concat("n", F.lit(" team files"))).alias("reason")))
     players, teams = (spark.read.parquet(f"{silver_root}/{t}") for t in ("players", "teams"))
     return check_contract(players, CONTRACTS["players"], "players").unionByName(
         check_contract(teams, CONTRACTS["teams"], "teams")
@@ -260,31 +293,39 @@ RAW_DOCUMENTS = {
 }
 
 
-def scan_quarantine(spark: SparkSession, bronze_root: str, entries: DataFrame) -> DataFrame:
+def scan_quarantine(spark: SparkSession, bronze_root: str, entries: DataFrame,
+                    datasets: list[str] | None = None) -> DataFrame:
     """(dataset, file_key, game_date, reason, text) of listed documents that can't be read."""
     listed = entries.groupBy("game_date", "game_id").agg(F.count("*").alias("_listed"))
     only, found = documents.short_list(entries), None
-    for dataset, schema in RAW_DOCUMENTS.items():
-        docs = documents.scan_documents(spark, f"{bronze_root}/{dataset}", schema, only)
-        bad = documents.split_corrupt(docs)[1]
-        rows = bad.join(listed, F.col("file_key") == F.col("game_id")).select(
-            F.lit(dataset).alias("dataset"), "file_key", "game_date",
-            F.lit("malformed").alias("reason"), F.col(documents.CORRUPT).alias("text"),
-        )
+    for dataset in RAW_DOCUMENTS if datasets is None else datasets:
+        docs = documents.scan_documents(spark, f"{bronze_root}/{dataset}", RAW_DOCUMENTS[dataset], only)
+        rows = unreadable_documents(docs, dataset, listed)
         found = rows if found is None else found.unionByName(rows)
     return found
 
 
+def unreadable_documents(docs: DataFrame, dataset: str, entries: DataFrame) -> DataFrame:
+    """(dataset, file_key, game_date, reason, text) of those that dates list."""
+    bad = documents.split_corrupt(docs)[1]
+    listed = entries.select("game_date", "game_id").distinct()
+    return bad.join(listed, F.col("file_key") == F.col("game_id")).select(
+        F.lit(dataset).alias("dataset"), "file_key", "game_date",
+        F.lit("malformed").alias("reason"), F.col(documents.CORRUPT).alias("text"))
+
+
 def scan_raw(spark: SparkSession, bronze_root: str, entries: DataFrame | None = None,
-             ) -> dict[str, DataFrame]:
+             corrupt: dict[str, Observation] | None = None) -> dict[str, DataFrame]:
     """Readable documents per dataset below a raw lake.
 
-    With a short list of wanted games only their files are opened.
+    With a short list of wanted games only their files are opened. ``corrupt``
+    gets a count of the unreadable ones, which is known when the documents have been read.
     """
-    only = None if entries is None else documents.short_list(entries)
-    return {
-        dataset: documents.split_corrupt(
-            documents.scan_documents(spark, f"{bronze_root}/{dataset}", schema, only)
-        )[0]
-        for dataset, schema in RAW_DOCUMENTS.items()
-    }
+    only, found = None if entries is None else documents.short_list(entries), {}
+    for dataset, schema in RAW_DOCUMENTS.items():
+        docs = documents.scan_documents(spark, f"{bronze_root}/{dataset}", schema, only)
+        if corrupt is not None:
+            corrupt[dataset] = Observation()
+            docs = docs.observe(corrupt[dataset], F.count(documents.CORRUPT).alias("n"))
+        found[dataset] = documents.split_corrupt(docs)[0]
+    return found

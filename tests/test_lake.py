@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from courtlake import schemas
 from courtlake.operators import store as st
-from courtlake.operators import worklist
+from courtlake.operators import ledger, worklist
 from courtlake.plans import jobs, silver
 from courtlake.sources import documents, resultset, tables
 from courtlake.streaming.incremental import incremental_lake_run
@@ -162,9 +162,10 @@ def test_batch_equals_dates_in_turn_equals_stream(spark, lake, tmp_path):
     # The first date has a box score that can't be read, the last one no manifest.
     assert (row.total, row.processed, row.skipped, row.failed) == (4, 1, 1, 2)
     assert row.failed_dates == "2024-01-01, 2024-01-04"
-    kept = spark.read.parquet(f"{tmp_path}/batch/silver/_quarantine").collect()
-    assert [(r.dataset, r.file_key, str(r.game_date), r.text) for r in kept] == [
-        ("boxscores", "002", "2024-01-01", "{broken")]
+    kept = ledger.open_rejects(spark, f"{tmp_path}/batch/silver").orderBy("file_key").collect()
+    assert [(r.dataset, r.file_key, str(r.game_date), r.row_pos, r.fails) for r in kept] == [
+        ("boxscores", "001", "2024-01-01", 2, False), ("boxscores", "002", "2024-01-01", None, True)]
+    assert '"PERSON_ID":"2.5"' in kept[0].text and kept[1].text == "{broken"
     assert "checked" in report.where("source = '*'").first().line
     for day in ("2024-01-01", "2024-01-03"):
         jobs.process_date(spark, manifests, jobs.lake_documents(str(lake)), f"{tmp_path}/turn/silver",
@@ -183,7 +184,7 @@ def test_batch_equals_dates_in_turn_equals_stream(spark, lake, tmp_path):
         "12.50", "None", "5.50"}
     again, _ = jobs.backfill_lake(
         spark, str(lake), f"{tmp_path}/batch/silver", stores["batch"], "2024-01-01", "2024-01-03")
-    assert again.first().skipped == 3
+    assert (again.first().skipped, again.first().failed) == (2, 1)
     found = jobs.verify(stores["batch"], manifests)
     assert found["breakdown"].where("game_date = '2024-01-01'").first().n_shots == 1
     assert found["player_sample"].count() == 3 and found["play_sample"].count() == 2
@@ -302,3 +303,79 @@ def test_order_batches_and_crashes_change_nothing(spark, two_dates, tmp_path, mo
             run()
     run()
     assert snapshot(store) == expected
+
+
+def test_failures_stay_failures(spark, lake, tmp_path):
+    """A date with a broken document is failed in every run until it is mended, then done."""
+    import shutil
+
+    root = shutil.copytree(lake, tmp_path / "raw")
+    put(root, "boxscores", "404", box([player(5, comment=1)], []))
+    put(root, "pbp", "404", {"game": {"actions": [action(1, period=1 << 40), action(2)]}})
+    put(root, "manifests", "2024-01-05", '{"game_date": "2024-01-05", "game_ids": [')
+    gold, silver_root = st.create_tables(spark, f"{tmp_path}/gold", 2), f"{tmp_path}/silver"
+
+    def run():
+        summary, _ = jobs.backfill_lake(spark, str(root), silver_root, gold, "2024-01-01", "2024-01-05")
+        row = summary.first()
+        return row.processed, row.skipped, row.failed_dates
+
+    # Manifests of the 4th and 5th are missing or broken; a period of the 3rd fits no column.
+    failed = "2024-01-01, 2024-01-03, 2024-01-04, 2024-01-05"
+    assert run() == (0, 1, failed)
+    assert run() == (0, 1, failed)
+    kept = sorted((r.scope, r.dataset, r.file_key, r.reason) for r in ledger.open_rejects(spark, silver_root).collect())
+    assert kept == [
+        ("dates", "boxscores", "001", "an id is no integer"), ("dates", "boxscores", "002", "malformed"),
+        ("dates", "fact_play_by_play", "404", "period: no int"), ("manifests", "manifests", "2024-01-05", "malformed")]
+    assert names(st.scan_gold(gold, "fact_play_by_play").where("game_id = '404'"), "action_number") == [2]
+    put(root, "boxscores", "002", box([player(6)], []))
+    put(root, "pbp", "404", {"game": {"actions": [action(1), action(2)]}})
+    put(root, "manifests", "2024-01-05", {"game_date": "2024-01-05", "game_ids": []})
+    assert run() == (2, 2, "2024-01-04")
+    assert run() == (0, 4, "2024-01-04")
+    kept = [(r.dataset, r.file_key, r.row_pos) for r in ledger.open_rejects(spark, silver_root).collect()]
+    assert kept == [("boxscores", "001", 2)]
+    assert names(st.scan_gold(gold, "fact_play_by_play").where("game_id = '404'"), "action_number") == [1, 2]
+
+
+def test_a_crash_after_silver_is_retried(spark, two_dates, tmp_path, monkeypatch):
+    gold, silver_root = st.create_tables(spark, f"{tmp_path}/gold", 2), f"{tmp_path}/silver"
+    run = lambda: jobs.backfill_lake(spark, str(two_dates), silver_root, gold, "2024-01-01", "2024-01-03")[0].first()
+    with monkeypatch.context() as m:
+        m.setattr("courtlake.plans.gold.load_fact", lambda *_a, **_b: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            run()
+    assert worklist.silver_dates(spark, silver_root).count() == 2
+    assert run().processed == 2 and run().skipped == 2
+
+
+def test_the_stream_keeps_what_it_cannot_read(spark, lake, tmp_path):
+    import shutil
+
+    root = shutil.copytree(lake, tmp_path / "raw")
+    put(root, "manifests", "2024-01-09", '{"game_date"')
+    gold, silver_root = st.create_tables(spark, f"{tmp_path}/gold", 2), f"{tmp_path}/silver"
+    for _ in range(2):
+        incremental_lake_run(spark, str(root), silver_root, gold, f"{tmp_path}/checkpoint")
+    kept = sorted((r.dataset, r.file_key) for r in ledger.open_rejects(spark, silver_root).collect())
+    assert kept == [("boxscores", "001"), ("boxscores", "002"), ("manifests", "2024-01-09")]
+    states = {str(r.game_date): r.state for r in ledger.latest(spark, silver_root).where("scope = 'dates'").collect()}
+    assert states == {"2024-01-01": "failed", "2024-01-03": "done"}
+
+
+def test_counts_of_a_late_date(spark, two_dates, tmp_path):
+    """Rows of later dates that are tried again are loaded, not counted; none twice."""
+    manifests = documents.scan_manifests(spark, f"{two_dates}/manifests")
+    gold, found = st.create_tables(spark, f"{tmp_path}/gold", 2), {}
+    for day in ("2024-01-03", "2024-01-01"):
+        _, counts = jobs.process_date(spark, manifests, jobs.lake_documents(str(two_dates)), f"{tmp_path}/silver", gold, day)
+        found[day] = {r.table: (r.staged, r.loaded, r.dropped) for r in counts.collect()}
+    assert found["2024-01-01"]["fact_shots"] == (4, 2, 2)
+    assert found["2024-01-01"]["fact_player_stats"] == (4, 4, 0)
+
+
+def test_team_files_left_out_are_kept(spark, lake, tmp_path):
+    silver.build_dims_silver(spark, *silver.scan_dims(spark, str(lake)), f"{tmp_path}/s")
+    kept = sorted((r.scope, r.file_key, r.reason) for r in ledger.open_rejects(spark, f"{tmp_path}/s").collect())
+    assert kept == [("dimensions", "2", "a row does not fit"), ("dimensions", "3", "malformed")]
