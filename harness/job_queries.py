@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from courtlake.functions.dates import season_of_date
-from courtlake.operators import report, store, worklist
+from courtlake import schemas
+from courtlake.operators import ledger, report, store, worklist
 from courtlake.plans import gold, jobs, silver
 from courtlake.session import shared_dir
 from courtlake.sources import documents, tables
@@ -283,6 +284,66 @@ def backfill(spark, sf_dir):
     )
 
 
+# ---- failures -------------------------------------------------------------
+
+BROKEN = '{"boxScoreAdvanced":'
+
+
+def box_scores(spark, sf_dir, mended):
+    """Box scores alone, one in 97 cut off unless they are mended: (documents_of, unreadable_of)."""
+    texts = raw.boxscore_texts(spark, sf_dir)
+    cut = (F.col("game_id").cast("bigint") % 97 == 5) & F.lit(not mended)
+    named = texts.select(F.col("game_id").alias("file_key"), F.when(cut, BROKEN).otherwise(F.col("doc")).alias("doc"))
+    docs = documents.parse_documents(named, "doc", schemas.BOXSCORE_DOC)
+    return (
+        lambda _session, _entries: {"boxscores": documents.split_corrupt(docs)[0]},
+        lambda _session, entries: silver.unreadable_documents(docs, "boxscores", entries),
+    )
+
+
+@query("backfill_outcomes", f"""
+WITH {raw.GAMES_SQL},
+d AS (SELECT game_date, count(*) FILTER (WHERE k % 97 = 5) AS broken, count(*) FILTER (WHERE st <> 'P') AS n
+      FROM g GROUP BY ALL)
+SELECT 1 AS run, game_date, CASE WHEN broken > 0 THEN 'failed' ELSE 'processed' END AS status FROM d
+UNION ALL
+SELECT 2, game_date, CASE WHEN broken > 0 THEN 'failed' WHEN n > 0 THEN 'skipped' ELSE 'processed' END FROM d
+UNION ALL
+SELECT 3, game_date, CASE WHEN broken > 0 OR n = 0 THEN 'processed' ELSE 'skipped' END FROM d
+""")
+def backfill_outcomes(spark, sf_dir):
+    """Two runs over broken box scores and one over mended ones; a date without box scores stays open."""
+    root, gold_store = new_store(spark)
+    found = None
+    for run, mended in enumerate((False, False, True), 1):
+        statuses, _ = jobs.backfill_dates(
+            spark, raw.manifests(spark, sf_dir), box_scores(spark, sf_dir, mended)[0], root, gold_store,
+            _span(spark, sf_dir), unreadable_of=box_scores(spark, sf_dir, mended)[1])
+        rows = statuses.select(F.lit(run).alias("run"), "game_date", "status")
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+@query("quarantine_rows", f"""
+WITH {raw.GAMES_SQL}
+SELECT 'boxscores' AS dataset, game_id AS file_key, game_date, NULL::BIGINT AS row_pos, 'malformed' AS reason,
+       true AS fails, '{BROKEN}' AS detail FROM g WHERE k % 97 = 5
+UNION ALL
+SELECT 'boxscores', game_id, game_date, 1048577, 'an id is no integer', false, c || '.5'
+FROM g WHERE k % 97 <> 5 AND st <> 'P'
+""")
+def quarantine_rows(spark, sf_dir):
+    """What stands rejected after two runs over broken box scores."""
+    root, gold_store = new_store(spark)
+    docs, unreadable = box_scores(spark, sf_dir, False)
+    for force in (False, True):
+        jobs.backfill_dates(spark, raw.manifests(spark, sf_dir), docs, root, gold_store, _span(spark, sf_dir), force,
+                            unreadable)
+    detail = F.coalesce(F.get_json_object("text", "$.PERSON_ID"), "text")
+    return ledger.open_rejects(spark, root).select(
+        "dataset", "file_key", "game_date", "row_pos", "reason", "fails", detail.alias("detail"))
+
+
 @query("dims_refresh", f"""
 WITH {raw.TEAM_GAMES_SQL},
 {SILVER_SQL.replace(raw.GAMES_SQL + ',', '', 1)},
