@@ -17,8 +17,8 @@ import numpy as np
 import pyarrow as pa
 
 #: New pieces a worker remembers; then they become the older ones, and those before are forgotten
-#: unless they were met again (about 100 MB for both).
-REMEMBERED = 300_000
+#: unless they were met again (about 250 MB for both).
+REMEMBERED = 600_000
 #: Pieces that are encoded as one text.
 TOGETHER = 1000
 
@@ -49,8 +49,10 @@ class Encoder:
             self._edge[i] = token.startswith("\u0120") if keeps_space else token.endswith("</w>")
         self._new: dict = {}
         self._old: dict = {}
-        # A full stop or comma behind a letter or digit is a token of its own.
+        # A full stop or comma behind a letter or digit is a token of its own, but for letters that the
+        # tokenizer turns into a letter and a mark: it takes the mark and what follows together.
         self._marks = dict(zip(".,", self._encoded([".", ","])))
+        self._stands: dict[str, bool] = {}
 
     def _encoded(self, pieces: list[str]) -> list[bytes]:
         """Ids of pieces, none of which holds a special token: a special token stands between them."""
@@ -80,6 +82,16 @@ class Encoder:
             found += [data[4 * a:4 * b] for a, b in zip(cuts, cuts[1:])]
         return found
 
+    def _ends_word(self, letter: str) -> bool:
+        """Whether a full stop or comma behind this letter or digit leaves its tokens as they are."""
+        known = self._stands.get(letter)
+        if known is None:
+            word = f"a{letter}"
+            plain, *marked = self._encoded([word, *(word + m for m in self._marks)])
+            known = all(m == plain + own for m, own in zip(marked, self._marks.values()))
+            self._stands[letter] = known
+        return known
+
     def _pieces(self, text: bytes) -> list:
         """Words as bytes; or pieces as they stand, in a tuple, and those behind a space without it."""
         if not self._keeps_space:
@@ -102,27 +114,29 @@ class Encoder:
         return piece[0] if isinstance(piece, tuple) else " " + piece
 
     def _learn(self, pieces: set) -> None:
-        for p in [p for p in pieces if p in self._old]:
-            self._new[p] = self._old[p]
-            pieces.discard(p)
-        marked, wanted = {}, set()
+        old, new = self._old, self._new
+        wanted: dict = {}
+        marked = {}
         for p in pieces:
-            text = self._text(p)
-            if len(text) > 1 and text[-1] in self._marks and text[-2].isalnum():
-                stem = (p[0][:-1],) if isinstance(p, tuple) else p[:-1]
-                marked[p] = stem, text[-1]
+            if p in old:
+                new[p] = old[p]
+                continue
+            text = p[0] if isinstance(p, tuple) else p if self._keeps_space else p.decode()
+            if text[-1:] in self._marks and len(text) > 1 and text[-2].isalnum() and self._ends_word(text[-2]):
+                text, mark = text[:-1], text[-1]
+                stem = (text,) if isinstance(p, tuple) else p[:-1]
+                marked[p] = stem, mark
                 p = stem
-            if p not in self._new:
-                wanted.add(p)
+                if p in new:
+                    continue
+            wanted[p] = text
         words, others = [], []
-        for p in wanted:
-            text = p if isinstance(p, str) else p.decode() if isinstance(p, bytes) else ""  # "": as it stands
-            (words if text.isalpha() else others).append(p)
-        self._new.update(zip(words, self._encoded_words(
-            words if self._keeps_space else [p.decode() for p in words])))
-        self._new.update(zip(others, self._encoded([self._text(p) for p in others])))
+        for p, text in wanted.items():
+            (words if text.isalpha() and not isinstance(p, tuple) else others).append(p)
+        new.update(zip(words, self._encoded_words([wanted[p] for p in words])))
+        new.update(zip(others, self._encoded([self._text(p) for p in others])))
         for p, (stem, mark) in marked.items():
-            self._new[p] = self._new[stem] + self._marks[mark]
+            new[p] = new[stem] + self._marks[mark]
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""

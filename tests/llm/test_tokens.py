@@ -44,6 +44,17 @@ def test_pieces_change_no_id(path):
     same()
 
 
+@pytest.mark.parametrize("path", KINDS)
+def test_every_letter_before_a_mark(path):
+    """Also letters that the tokenizer takes apart into a letter and a mark, which joins what follows."""
+    encoder = Encoder(path, KINDS[path])
+    letters = [c for c in map(chr, [*range(0x80, 0xD800), *range(0xE000, 0x10000)]) if c.isalnum()]
+    for start in range(0, len(letters), 4000):
+        texts = [f"MER{c}. x{c}, {c}. a{c}.{c}," for c in letters[start:start + 4000]]
+        found = [np.frombuffer(i, "<u4").tolist() for i in encoder.ids([t.encode() for t in texts])]
+        assert found == plain(path, texts)
+
+
 def test_token_file(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").orderBy("doc_id").collect()
     expected, start = {}, 0
