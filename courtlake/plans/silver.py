@@ -297,9 +297,9 @@ def scan_quarantine(spark: SparkSession, bronze_root: str, entries: DataFrame,
                     datasets: list[str] | None = None) -> DataFrame:
     """(dataset, file_key, game_date, reason, text) of listed documents that can't be read."""
     listed = entries.groupBy("game_date", "game_id").agg(F.count("*").alias("_listed"))
-    only, found = documents.short_list(entries), None
+    found = None
     for dataset in RAW_DOCUMENTS if datasets is None else datasets:
-        docs = documents.scan_documents(spark, f"{bronze_root}/{dataset}", RAW_DOCUMENTS[dataset], only)
+        docs = documents.scan_documents(spark, f"{bronze_root}/{dataset}", RAW_DOCUMENTS[dataset], entries)
         rows = unreadable_documents(docs, dataset, listed)
         found = rows if found is None else found.unionByName(rows)
     return found
@@ -318,12 +318,12 @@ def scan_raw(spark: SparkSession, bronze_root: str, entries: DataFrame | None =
              corrupt: dict[str, Observation] | None = None) -> dict[str, DataFrame]:
     """Readable documents per dataset below a raw lake.
 
-    With a short list of wanted games only their files are opened. ``corrupt``
+    With wanted games only their files are opened. ``corrupt``
     gets a count of the unreadable ones, which is known when the documents have been read.
     """
-    only, found = None if entries is None else documents.short_list(entries), {}
+    found = {}
     for dataset, schema in RAW_DOCUMENTS.items():
-        docs = documents.scan_documents(spark, f"{bronze_root}/{dataset}", schema, only)
+        docs = documents.scan_documents(spark, f"{bronze_root}/{dataset}", schema, entries)
         if corrupt is not None:
             corrupt[dataset] = Observation()
             docs = docs.observe(corrupt[dataset], F.count(documents.CORRUPT).alias("n"))

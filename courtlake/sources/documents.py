@@ -18,27 +18,34 @@ from courtlake.sources.files import path_exists
 CORRUPT = "_corrupt_record"
 
 
-# Up to this many wanted keys are turned into a file-name filter.
-SHORT_LIST = 10_000
+def list_documents(spark: SparkSession, path: str) -> DataFrame:
+    """(file_key, path, size) of the documents below a folder, from its listing; none is opened."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], "file_key string, path string, size bigint")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(path)
+    return files.select(key_from_path("path").alias("file_key"), "path", F.col("length").alias("size"))
 
 
-def short_list(entries: DataFrame) -> list[str] | None:
-    """The distinct game ids of a work list when they are few, else None (no pruning)."""
-    found = entries.select("game_id").distinct().limit(SHORT_LIST + 1).collect()
-    return None if len(found) > SHORT_LIST else [row.game_id for row in found]
+def listed_paths(spark: SparkSession, path: str, entries: DataFrame) -> list[str]:
+    """Paths of the documents below a folder whose key is the game id of an entry.
+
+    A file scan keeps the status of each of its files on the driver in any case; these are the
+    names of those alone, passed on task by task.
+    """
+    wanted = entries.select(F.col("game_id").alias("file_key")).distinct()
+    found = list_documents(spark, path).join(wanted, "file_key", "left_semi").select("path")
+    return [row.path for row in found.toLocalIterator()]
 
 
-def scan_documents(spark: SparkSession, path: str, schema: str,
-                   only: list[str] | None = None) -> DataFrame:
+def scan_documents(spark: SparkSession, path: str, schema: str, entries: DataFrame | None = None) -> DataFrame:
     """Documents below ``path`` (absent folder = no documents).
 
-    ``only`` names wanted keys; other files are then pruned before they are read.
+    With ``entries`` (game_id) only the files they list are opened, however many.
     """
-    if not path_exists(spark, path):
+    paths = [path] if entries is None else listed_paths(spark, path, entries)
+    if not paths or not path_exists(spark, path):
         return spark.createDataFrame([], f"file_key string, {schema}, {CORRUPT} string")
-    files = spark.read.option("pathGlobFilter", "*.json").text(path, wholetext=True)
-    if only is not None:
-        files = files.where(F.col("_metadata.file_name").isin([f"{key}.json" for key in only]))
+    files = spark.read.option("pathGlobFilter", "*.json").text(paths, wholetext=True)
     keyed = files.select(key_from_path("_metadata.file_name").alias("file_key"), "value")
     return parse_documents(keyed, "value", schema)
 
@@ -61,10 +68,7 @@ def parse_documents(df: DataFrame, text_column: str, schema: str) -> DataFrame:
 
 def document_keys(spark: SparkSession, path: str) -> DataFrame:
     """Keys of the documents below ``path``, without opening any."""
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], "file_key string")
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(path)
-    return files.select(key_from_path("path").alias("file_key"))
+    return list_documents(spark, path).select("file_key")
 
 
 def split_corrupt(docs: DataFrame) -> tuple[DataFrame, DataFrame]:

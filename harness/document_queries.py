@@ -238,10 +238,12 @@ def flatten_nested(spark, sf_dir):
 @query("default_if_missing", f"""
 WITH {raw.PLAYERS_SQL}
 SELECT game_id, person_id::VARCHAR AS person, family_name, tricode FROM players_of
+UNION ALL SELECT game_id, (c * 4 + 1)::VARCHAR, 'x', 'H' || (c % 30) FROM g WHERE st <> 'P'
+UNION ALL SELECT game_id, c || '.5', '', '' FROM g WHERE st <> 'P'
 """)
 def default_if_missing(spark, sf_dir):
     rows = flatten.flatten_sides(raw.documents(spark, sf_dir, "boxscores"))
-    return rows.where("_row_pos IN (0, 1, 1048576)").select(
+    return rows.select(
         F.col("file_key").alias("game_id"), F.col("player")["personId"].alias("person"),
         get_or_default("player", "familyName").alias("family_name"),
         get_or_default("team", "teamTricode").alias("tricode"),

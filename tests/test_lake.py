@@ -96,8 +96,17 @@ def test_scans(spark, lake):
     good, bad = documents.split_corrupt(documents.scan_boxscores(spark, f"{lake}/boxscores"))
     assert names(good.where("boxScoreAdvanced IS NOT NULL"), "file_key") == ["001", "003", "900"]
     assert names(bad, "file_key") == ["000", "002"]
-    only = documents.scan_documents(spark, f"{lake}/pbp", schemas.ACTIONS_DOC, only=["001"])
-    assert "file_name" in only._jdf.queryExecution().executedPlan().toString()
+    one = entries.where("game_id = '001'")
+    only = documents.scan_documents(spark, f"{lake}/pbp", schemas.ACTIONS_DOC, one)
+    assert [f.rsplit("/", 1)[1] for f in only.inputFiles()] == ["001.json"]
+    # A list of any length opens no other file.
+    many = one.select("game_id").union(spark.range(10_001).select(F.format_string("x%d", "id"))).union(
+        spark.createDataFrame([("003",)], "game_id string"))
+    some = documents.scan_documents(spark, f"{lake}/boxscores", schemas.BOXSCORE_DOC, many)
+    assert sorted(f.rsplit("/", 1)[1] for f in some.inputFiles()) == ["001.json", "003.json"]
+    assert documents.scan_documents(spark, f"{lake}/pbp", schemas.ACTIONS_DOC, one.limit(0)).count() == 0
+    sizes = {r.file_key: r.size for r in documents.list_documents(spark, f"{lake}/pbp").collect()}
+    assert set(sizes) == {"001", "002", "003"} and all(sizes.values())
     assert names(only.where("game IS NOT NULL"), "file_key") == ["001"]
     missing = worklist.missing_documents(entries, worklist.present_documents(spark, str(lake)))
     assert sorted(tuple(r) for r in missing.collect()) == [

@@ -142,3 +142,8 @@ def test_backfill_summary_lists_the_first_failures(spark):
 def test_random_sample(spark):
     assert report.random_sample(spark.range(100), 5).count() == 5
     assert report.random_sample(spark.range(3), 5).count() == 3
+    whole = spark.range(2000).withColumn("v", F.when(F.col("id") % 3 > 0, F.col("id")))
+    sample = lambda df, seed: [r.id for r in report.random_sample(df, 9, seed).collect()]
+    assert sample(whole, 1) == sample(whole.repartition(13), 1) != sample(whole, 2)
+    halves = [report.random_sample(whole.where(f"id % 2 = {i}"), 9, 1) for i in (0, 1)]
+    assert sample(halves[0].union(halves[1]), 1) == sample(whole, 1)

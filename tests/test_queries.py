@@ -20,5 +20,4 @@ def test_query(spark, sf_dir, connection, key):
 
 
 def test_registered():
-    assert set(ORACLES) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLES) == {"random_sample"}
+    assert set(ORACLES) == set(QUERIES)
