@@ -74,7 +74,7 @@ ROW = st.tuples(st.one_of(st.none(), st.integers(0, 4)), st.one_of(st.none(), st
                 st.sampled_from([None, "", "u"]), st.sampled_from([None, "", "x", "yy", "é😀"]))
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(ROW, max_size=40))
 def test_random_turns(spark, rows):
     assert found_trie(spark, rows) == brute(sequences(rows))
