@@ -8,7 +8,7 @@ from courtlake.functions import dates, durations, numbers, text
 from courtlake.operators import flatten
 from courtlake.operators.store import typed_store
 from courtlake.schemas import GoldTable
-from harness.registry import query, table
+from harness.registry import query, refused, table
 
 SEASON_SQL = "(CASE WHEN month(o_orderdate) >= 10 THEN year(o_orderdate) ELSE year(o_orderdate) - 1 END)::INT"
 
@@ -179,11 +179,19 @@ def coerce_long(spark, sf_dir):
     )
 
 
-@query("cast_int_strict", "SELECT o_orderkey, o_custkey::INT AS customer FROM orders")
+@query("cast_int_strict", """
+SELECT o_orderkey, o_custkey::INT AS customer,
+       3 * (SELECT (count(*) > 0)::INT FROM orders WHERE o_custkey % 7 = 0) AS refused FROM orders
+""")
 def cast_int_strict(spark, sf_dir):
-    return table(spark, sf_dir, "orders").select(
-        "o_orderkey", numbers.cast_int_strict(F.col("o_custkey").cast("string")).alias("customer")
-    )
+    """Integers pass; columns in which some are text, fractions or missing are refused."""
+    orders, c = table(spark, sf_dir, "orders"), F.col("o_custkey").cast("string")
+    some = F.col("o_custkey") % 7 == 0
+    n = 0
+    for bad, message in ((F.lit("x"), "CAST_INVALID_INPUT"), (F.concat(c, F.lit(".5")), "CAST_INVALID_INPUT"),
+                         (F.lit(None).cast("string"), "null where an integer is required")):
+        n += refused(orders.select(numbers.cast_int_strict(F.when(some, bad).otherwise(c))), message)
+    return orders.select("o_orderkey", numbers.cast_int_strict(c).alias("customer"), F.lit(n).alias("refused"))
 
 
 @query("truthy", f"""

@@ -66,23 +66,31 @@ def build_silver(spark, sf_dir):
 @query("build_dims_silver", f"""
 WITH {raw.TEAM_GAMES_SQL}
 SELECT 'teams' AS "table", game_id AS id, team_id AS item, team_name AS name, game_date AS day, pts AS n,
-       k % 21 - 10 + 0.0::DOUBLE AS amount, NULL::BOOLEAN AS is_active FROM team_games
+       k % 21 - 10 + 0.0::DOUBLE AS amount, NULL::BOOLEAN AS is_active, 'T' || team_id AS a,
+       '2' || year(game_date) AS b, 'A vs. B' AS matchup, wl, '240' AS minutes, k % 50 AS fgm,
+       ('0.' || lpad((k % 1000)::VARCHAR, 3, '0'))::DOUBLE AS fg_pct, 15 AS n_absent FROM team_games
 UNION ALL
-SELECT 'players', NULL, c_custkey * 4 + 1, c_name, NULL, NULL, NULL, c_acctbal > 0 FROM customer
+SELECT 'players', NULL, c_custkey * 4 + 1, c_name, NULL, NULL, NULL, c_acctbal > 0, 'F' || c_custkey,
+       'L' || c_nationkey, NULL, NULL, NULL, NULL, NULL, NULL FROM customer
 """)
 def build_dims_silver(spark, sf_dir):
+    """All columns; those that no document holds are counted."""
     root = shared_dir(spark, "silver")
     silver.build_dims_silver(
         spark, raw.player_items(spark, sf_dir), raw.team_documents(spark, sf_dir), root
     )
+    absent = [c for c in [*schemas.TEAM_COUNT_FIELDS, *schemas.TEAM_PERCENT_FIELDS] if c not in ("FGM", "FG_PCT")]
     teams = tables.scan_dim(spark, f"{root}/teams").select(
         F.lit("teams").alias("table"), F.col("GAME_ID").alias("id"), F.col("TEAM_ID").alias("item"),
         F.col("TEAM_NAME").alias("name"), F.col("GAME_DATE").alias("day"), F.col("PTS").alias("n"),
-        F.col("PLUS_MINUS").alias("amount"),
+        F.col("PLUS_MINUS").alias("amount"), F.col("TEAM_ABBREVIATION").alias("a"), F.col("SEASON_ID").alias("b"),
+        F.col("MATCHUP").alias("matchup"), F.col("WL").alias("wl"), F.col("MIN").alias("minutes"),
+        F.col("FGM").alias("fgm"), F.col("FG_PCT").alias("fg_pct"),
+        sum(F.col(c).isNull().cast("int") for c in absent).alias("n_absent"),
     )
     players = tables.scan_dim(spark, f"{root}/players").select(
         F.lit("players").alias("table"), F.col("id").cast("bigint").alias("item"),
-        F.col("full_name").alias("name"), "is_active",
+        F.col("full_name").alias("name"), "is_active", F.col("first_name").alias("a"), F.col("last_name").alias("b"),
     )
     return teams.unionByName(players, allowMissingColumns=True)
 
@@ -387,6 +395,11 @@ SELECT game_date::VARCHAR AS key, coalesce(n, 0) AS n_games, coalesce(a, 0) AS n
 FROM d LEFT JOIN per USING (game_date) LEFT JOIN n USING (game_date)
 UNION ALL
 SELECT 'all', (SELECT count(*) FROM g WHERE st <> 'P'), sum(a)::BIGINT, sum(b)::BIGINT, sum(c)::BIGINT FROM per
+UNION ALL
+SELECT 'dimensions', (SELECT count(*) FROM g WHERE st <> 'P'), count(DISTINCT person_id), count(DISTINCT team_id), 0
+FROM players_of
+UNION ALL
+SELECT 'samples', 0, 5, 5, 0
 """)
 def verify(spark, sf_dir):
     root, gold_store = new_store(spark)
@@ -400,7 +413,17 @@ def verify(spark, sf_dir):
     totals = found["counts"].groupBy(F.lit("all").alias("key")).pivot(
         "table", ["games", "fact_player_stats", "fact_play_by_play", "fact_shots"]
     ).agg(F.first("n_rows"))
-    return dates.unionByName(totals.toDF("key", *dates.columns[1:]))
+    others = found["counts"].groupBy(F.lit("dimensions").alias("key")).pivot(
+        "table", ["games", "players", "teams", "fact_team_stats"]
+    ).agg(F.first("n_rows"))
+    # A sample is random; what holds of any: five different rows of the fact that pass the filter.
+    played = store.scan_gold(gold_store, "fact_player_stats").where("minutes > 0")
+    told = store.scan_gold(gold_store, "fact_play_by_play").where("description != ''")
+    samples = [(found[name].distinct().join(rows.select(*keys), keys, "left_semi").count()) for name, rows, keys in (
+        ("player_sample", played, ["game_id", "player_id"]), ("play_sample", told, ["game_id", "description"]))]
+    drawn = spark.createDataFrame([("samples", 0, *samples, 0)], dates.schema)
+    return dates.unionByName(totals.toDF("key", *dates.columns[1:])).unionByName(
+        others.toDF("key", *dates.columns[1:])).unionByName(drawn)
 
 
 # ---- the flagship: dedupe, reference check, upsert, season totals --------

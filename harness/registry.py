@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,3 +35,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name in DATES:
         df = df.withColumn(DATES[name], F.col(DATES[name]).cast("date"))
     return df
+
+
+def refused(df: DataFrame, message: str) -> int:
+    """1 if computing ``df`` fails with an error that says ``message``, 0 if it succeeds."""
+    try:
+        df.write.format("noop").mode("overwrite").save()
+    except PySparkException as error:
+        if message not in str(error):
+            raise
+        return 1
+    return 0

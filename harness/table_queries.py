@@ -11,7 +11,7 @@ from courtlake.session import shared_dir
 from courtlake.sources import tables
 from harness.document_queries import DAYS_SQL, day_manifests
 from harness.function_queries import SEASON_SQL
-from harness.registry import query, table
+from harness.registry import query, refused, table
 
 LINE_KEY = ["l_orderkey", "l_linenumber"]
 LINE_ORDER = ["l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice", "l_discount",
@@ -186,11 +186,18 @@ def insert_if_absent(spark, sf_dir):
 
 
 @query("upsert_cardinality_guard", """
-SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+SELECT o_orderkey, o_custkey, o_totalprice,
+       (SELECT (count(*) > count(DISTINCT o_custkey))::INT + (count(*) > 0)::INT FROM orders) AS refused
+FROM orders
 """)
 def upsert_cardinality_guard(spark, sf_dir):
+    """Unique keys pass; sources with a repeated key and with a null key are refused."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    return dedupe.assert_unique(orders, ["o_orderkey"])
+    by_customer = dedupe.assert_unique(orders.withColumn("o_orderkey", F.col("o_custkey")), ["o_orderkey"])
+    first = orders.agg(F.min("o_orderkey")).first()[0]
+    with_null = orders.withColumn("o_orderkey", F.nullif("o_orderkey", F.lit(first)))
+    n = refused(by_customer, "repeated key") + refused(dedupe.assert_unique(with_null, ["o_orderkey"]), "null in key")
+    return dedupe.assert_unique(orders, ["o_orderkey"]).withColumn("refused", F.lit(n))
 
 
 # ---- projections and unions ----------------------------------------------

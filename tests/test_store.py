@@ -81,7 +81,7 @@ def test_a_commit_cut_off_at_any_step(spark, gold, monkeypatch, step, when):
     """The old table stands until the pointer is there, then the new one; the next merge goes on from it."""
     ids = [f"g{i}" for i in range(12)]
     st.append_absent(gold, "games", games(spark, ids))
-    for period in range(2, 5):
+    for period in range(2 if step == "remove" else 4, 5):  # removal needs versions that are no longer kept
         st.merge_table(gold, "fact_play_by_play", plays(spark, [(i, 1, period) for i in ids]))
     old = [(i, 4) for i in sorted(ids)]
     new = [(i, 5) for i in sorted(ids)]
