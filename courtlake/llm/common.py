@@ -27,6 +27,16 @@ def saved(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores behind it until no column of ``df`` has it, in any case."""
+    taken, found = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        found.append(name)
+    return found
+
+
 def ids_and_bytes(docs: DataFrame) -> DataFrame:
     """``doc_id`` and the text as UTF-8 bytes, null as empty; any other column is left behind."""
     return docs.select(

@@ -86,10 +86,19 @@ class CuckooFilter:
 
     def delete(self, keys: np.ndarray) -> None:
         """Take out one fingerprint for each key; keys that were never inserted must not be given."""
-        for fingerprint, home in zip(*self._places(keys)):
-            away = int(self._other(np.array([fingerprint], np.uint16), np.array([home]))[0])
-            for table, bucket in ((t, b) for t in self.tables for b in (home, away)):
-                slot = np.flatnonzero(table[bucket] == fingerprint)
-                if len(slot):
-                    table[bucket, slot[0]] = 0
-                    break
+        prints, bucket = self._places(keys)
+        places = np.stack([bucket, self._other(prints, bucket)])
+        for table in self.tables:
+            for side in (0, 1):
+                while len(prints):
+                    hit = table[places[side]] == prints[:, None]
+                    slot = places[side] * SLOTS + hit.argmax(1)
+                    rows = np.flatnonzero(hit.any(1))
+                    # Of keys that found the same slot one has it, the others look again.
+                    rows = rows[np.unique(slot[rows], return_index=True)[1]]
+                    if not len(rows):
+                        break
+                    table.reshape(-1)[slot[rows]] = 0
+                    left = np.ones(len(prints), bool)
+                    left[rows] = False
+                    prints, places = prints[left], places[:, left]

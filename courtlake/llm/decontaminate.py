@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtlake.llm.common import ids_and_bytes, saved, text_slices
+from courtlake.llm.common import ids_and_bytes, saved, text_slices, unused
 
 SHARD_ITEMS = 20_000
 BLOCK = 16
@@ -279,7 +279,8 @@ def _shard_leaks(docs: DataFrame, index: Index, min_score: float, min_overlap: f
 
 def without_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` that hold no leaked item, all columns kept; a row is named by its id and text."""
-    marked = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
+    row, leaked = unused(docs, "_row", "_leaked")
+    marked = docs.withColumn(row, F.xxhash64("doc_id", "text"))
     keyed = docs.select(F.xxhash64("doc_id", "text").alias("doc_id"), "text")
-    gone = leaks(spark, keyed, benchmark).select(F.col("doc_id").alias("_leaked")).distinct()
-    return marked.join(gone, F.col("_row") == F.col("_leaked"), "left_anti").drop("_row")
+    gone = leaks(spark, keyed, benchmark).select(F.col("doc_id").alias(leaked)).distinct()
+    return marked.join(gone, F.col(row) == F.col(leaked), "left_anti").drop(row)

@@ -9,9 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtlake.llm import decontaminate, masked_lm, quality, simhash, surrogates
+from courtlake.llm import decontaminate, line_dedup, masked_lm, quality, simhash, surrogates
 from courtlake.llm.common import documents
-from courtlake.llm.line_dedup import dedup_lines
 from courtlake.llm.minhash import minhash_groups
 from courtlake.llm.packing import pack
 from courtlake.llm.repetition import repetition
@@ -90,7 +89,13 @@ FROM f
 
 @query
 def op2_cuckoo_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = dedup_lines(spark, documents(spark, sf_dir).select("doc_id", "text"))
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    state = line_dedup.insert_parts(spark, line_dedup.state_for(spark, docs), docs)
+    # The last part is taken out and put in again: counts and filters come out as they were.
+    last = line_dedup.of_part(docs, line_dedup.PARTS - 1)
+    state = line_dedup.insert(spark, line_dedup.delete(spark, state, last), last)
+    pairs = line_dedup.postings(spark, state, range(line_dedup.PARTS))
+    kept = line_dedup.drop_repeated(spark, state, docs, pairs)
     return kept.select("doc_id", "n_lines", "n_dropped",
                        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 

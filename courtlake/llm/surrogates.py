@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtlake.llm.common import saved
+from courtlake.llm.common import saved, unused
 
 # Forms of address, by the gender they tell, and frequent given names.
 ADDRESS = ("Mr", "Mrs", "Ms", "Miss", "Dr", "Prof", "Sir", "Herr", "Frau", "Monsieur", "Madame",
@@ -237,9 +237,10 @@ def replace_entities(spark: SparkSession, docs: DataFrame, key: str) -> DataFram
     columns = [c for c in docs.columns if c != "n_entities"]
     with_any = F.coalesce(F.col("text"), F.lit("")).rlike(ANY)
     row = F.xxhash64(F.col("doc_id").cast("long"), "text")
-    hit = saved(spark, docs.where(with_any).select(*[F.col(f"`{c}`") for c in columns], row.alias("_row")), "pii-rows")
-    places = hit.dropDuplicates(["_row"]).select(
-        "_row", F.posexplode(F.regexp_extract_all("text", F.lit(ANY), F.lit(0))).alias("_at", "_found"))
+    named, of, own_puts = unused(docs, "_row", "_of", "_puts")
+    hit = saved(spark, docs.where(with_any).select(*[F.col(f"`{c}`") for c in columns], row.alias(named)), "pii-rows")
+    places = hit.dropDuplicates([named]).select(
+        F.col(named).alias("_row"), F.posexplode(F.regexp_extract_all("text", F.lit(ANY), F.lit(0))).alias("_at", "_found"))
     kinds = places.withColumn("kind", kind_of(F.col("_found")))
     mentions = saved(spark, kinds.withColumn("entity", entity_of(F.col("kind"), F.col("_found"))), "pii-mentions")
     surrogates = saved(
@@ -247,12 +248,12 @@ def replace_entities(spark: SparkSession, docs: DataFrame, key: str) -> DataFram
     put = mentions.join(surrogates, ["kind", "entity"]).select(
         "_row", "_at", _formatted(F.col("kind"), F.col("_found"), F.col("surrogate")).alias("_put"))
     in_order = F.transform(F.sort_array(F.collect_list(F.struct("_at", "_put"))), lambda x: x["_put"])
-    puts = put.groupBy("_row").agg(in_order.alias("_puts")).withColumnRenamed("_row", "_of")
+    puts = put.groupBy("_row").agg(in_order).toDF(of, own_puts)
     between = F.split("text", ANY, -1)
     text = F.array_join(F.flatten(F.zip_with(
-        between, F.concat("_puts", F.array(F.lit(""))), lambda gap, new: F.array(gap, new))), "")
-    changed = hit.join(puts, F.col("_row") == F.col("_of")).withColumn("text", text).withColumn(
-        "n_entities", F.size("_puts").cast("long"))
+        between, F.concat(own_puts, F.array(F.lit(""))), lambda gap, new: F.array(gap, new))), "")
+    changed = hit.join(puts, F.col(named) == F.col(of)).withColumn("text", text).withColumn(
+        "n_entities", F.size(own_puts).cast("long"))
     plain = docs.where(~with_any).withColumn("n_entities", F.lit(0).cast("long"))
     return plain.select(*[F.col(f"`{c}`") for c in columns], "n_entities").unionByName(
         changed.select(*[F.col(f"`{c}`") for c in columns], "n_entities"))

@@ -106,3 +106,12 @@ def test_scripts_without_spaces(spark, item):
     docs = spark.createDataFrame(
         [(1, f"前文{item}后文"), (2, "今天天气很好，我们去公园散步。" * 5), (3, f"some words {item[:4]} and more")], "doc_id long, text string")
     assert [r.doc_id for r in dc.leaks(spark, docs, benchmark).collect()] == [1]
+
+
+def test_clashing_columns(spark):
+    item = "which old harbour town lies on the northern shore of the long grey lake answer brindle haven"
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"before it {item} and after", 5, 6), (2, "nothing of the kind here", 5, 6)],
+                                 "doc_id long, text string, _row int, _LEAKED int")
+    rows = without_leaks(spark, docs, items).collect()
+    assert [(r.doc_id, r._row, r._LEAKED) for r in rows] == [(2, 5, 6)]

@@ -80,7 +80,7 @@ def test_increments_and_deletions(spark):
     gone = rows[3:6] + rows[-2:]
     state = ld.delete(spark, state, frame(gone))
     left = [r for r in rows if r not in gone]
-    keys = ld.line_keys(frame(rows))
+    keys = ld.line_keys(frame(rows)).distinct()
     counts = {bytes(r.key): (r.n_docs, r.last_doc) for r in ld._counts(spark, state, keys).collect() if r.n_docs}
     expected = defaultdict(list)
     for r in ld.line_keys(frame(left)).collect():
@@ -96,6 +96,37 @@ def test_increments_and_deletions(spark):
     assert result(ld.drop_repeated(spark, state, frame(rows), ld.line_keys(frame(rows)))) == brute(rows)
 
 
+def test_counts_are_compacted(spark, monkeypatch):
+    monkeypatch.setattr(ld, "COMPACTED", 2)
+    rows = [r for r in odd_rows() if r[0] is not None]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    state = ld.insert_parts(spark, ld.new_state(shared_dir(spark, "test-lines"), 100), docs)
+    assert (state.increments, state.base) == (3, 1)
+    for part in range(ld.PARTS):
+        state = ld.delete(spark, state, ld.of_part(docs, part))
+    assert state.base == 5 and ld._all_counts(spark, state).count() == 0
+    state = ld.insert_parts(spark, state, docs)
+    pairs = ld.postings(spark, state, range(ld.PARTS))
+    assert result(ld.drop_repeated(spark, state, docs, pairs)) == brute(rows)
+
+
+def test_clashing_columns(spark):
+    docs = spark.createDataFrame([(*r, 1, "x", 2) for r in odd_rows()],
+                                 "doc_id long, text string, _row int, _gone_keys string, _DOC_ID int")
+    found = ld.dedup_lines(spark, docs)
+    assert result(found) == brute(odd_rows())
+    assert {(r._row, r._gone_keys, r._DOC_ID) for r in found.collect()} == {(1, "x", 2)}
+
+
+def test_deletion_takes_one_of_equal_fingerprints():
+    keys = np.repeat(np.random.default_rng(1).integers(0, 2**63, (3, 2)).astype(np.uint64), 3, 0)
+    kept = CuckooFilter(1 << 4)
+    kept.insert(keys)
+    kept.delete(keys[[0, 1, 3]])
+    assert sum(int((t != 0).sum()) for t in kept.tables) == 6
+    assert kept.contains(keys).all()
+
+
 def test_cuckoo():
     rng = np.random.default_rng(0)
     keys = rng.integers(0, 2**63, (20_000, 2)).astype(np.uint64)
