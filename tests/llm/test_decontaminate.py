@@ -113,5 +113,5 @@ def test_clashing_columns(spark):
     items = spark.createDataFrame([(1, item)], "item_id long, text string")
     docs = spark.createDataFrame([(1, f"before it {item} and after", 5, 6), (2, "nothing of the kind here", 5, 6)],
                                  "doc_id long, text string, _row int, _LEAKED int")
-    rows = without_leaks(spark, docs, items).collect()
+    rows = dc.without_leaks(spark, docs, items).collect()
     assert [(r.doc_id, r._row, r._LEAKED) for r in rows] == [(2, 5, 6)]

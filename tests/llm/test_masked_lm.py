@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from courtlake.llm import masked_lm as lm
@@ -51,11 +54,15 @@ def test_scores_follow_the_definition(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     words, flat = lm.train(spark, docs)
     model, known = lm.Network(flat.copy()), {w: i for i, w in enumerate(words.words)}
-    found = {r.doc_id: r for r in lm.score(docs, words, flat).collect()}
+    found = {r.doc_id: r for r in lm.score(docs.union(docs.limit(3)), words, flat).collect()}
+    exact = Counter(w for r in docs.collect() for w in (r.text or "").encode().lower().split())
+    assert {bytes(r.word): r.n for r in words.counted.collect()} == exact
     for row in docs.orderBy("doc_id").limit(4).collect():
         numbers = [lm.word_number(w, known) for w in row.text.encode().lower().split()]
         padded = [lm.PAD] * 2 + numbers + [lm.PAD] * 2
-        total = sum(plain_log_probability(model, [padded[i + 2 + o] for o in lm.WINDOW], n)
+        all_words = row.text.encode().lower().split()
+        total = sum(np.log(exact[w] / words.counts[n]) for w, n in zip(all_words, numbers) if n >= lm.WORDS)
+        total += sum(plain_log_probability(model, [padded[i + 2 + o] for o in lm.WINDOW], n)
                     for i, n in enumerate(numbers))
         assert found[row.doc_id].n_tokens == len(numbers)
         assert found[row.doc_id].log_prob == pytest.approx(total, rel=1e-4)
@@ -82,6 +89,32 @@ def test_learns_from_both_sides(spark):
     assert scores[1] > scores[2]
 
 
+def test_words():
+    texts = [b" A b\tA\n", b"", b"\x0b\x0c\r", "é\u00a0É \x1cx".encode(), b"b" * 100_000]
+    words, codes, document = lm._words(texts)
+    names = words.to_pylist()
+    split = [t.lower().split() for t in texts]
+    assert [names[c] for c in codes] == [w for own in split for w in own]
+    assert document.tolist() == [i for i, own in enumerate(split) for _ in own]
+    table = lm._table(words, pa.array([b"b"], pa.large_binary()))
+    assert [int(n) for n in table] == [lm.word_number(w, {b"b": 0}) for w in names]
+
+
+def test_a_word_of_its_own(spark):
+    """Of two words in one bucket the one seen more often is likelier; an unseen one is least likely."""
+    by_bucket = {}
+    for i in range(2000):
+        by_bucket.setdefault(lm.word_number(b"w%d" % i, {}), []).append(f"w{i}")
+    often, seldom, unseen = next(iter(by_bucket.values()))[:3]
+    frequent = " ".join(f"f{i} f{i} f{i} f{i} f{i} f{i}" for i in range(lm.WORDS))
+    docs = spark.createDataFrame([(1, frequent), (2, f"{often} {often} {often} {seldom}")], "doc_id long, text string")
+    words, flat = lm.train(spark, docs)
+    asked = spark.createDataFrame([(1, often), (2, seldom), (3, unseen)], "doc_id long, text string")
+    found = {r.doc_id: r.log_prob for r in lm.score(asked, words, flat).collect()}
+    assert found[1] - found[2] == pytest.approx(np.log(3), abs=1e-9)
+    assert found[3] - found[2] == pytest.approx(np.log(4 / 5), abs=1e-9)
+
+
 def test_edge_cases(spark):
     docs = spark.createDataFrame(
         [(1, None, 0), (2, "", 0), (2, "", 0), (None, "one", 0), (3, "one two " * 60_000, 0)],

@@ -99,6 +99,6 @@ def test_key_and_edge_cases(spark):
 def test_clashing_columns(spark):
     docs = spark.createDataFrame([(1, "write to jane.roe@mail.org", 5, "x", 7), (2, "plain", 5, "x", 7)],
                                  "doc_id long, text string, _row int, _PUTS string, _of int")
-    rows = replace_entities(spark, docs, key="k").orderBy("doc_id").collect()
+    rows = surrogates.replace_entities(spark, docs, key="k").orderBy("doc_id").collect()
     assert [(r.doc_id, r._row, r._PUTS, r._of, r.n_entities) for r in rows] == [(1, 5, "x", 7, 1), (2, 5, "x", 7, 0)]
     assert "jane.roe" not in rows[0].text and rows[1].text == "plain"
