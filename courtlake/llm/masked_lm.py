@@ -34,7 +34,8 @@ PER_CLASS = SIZE // CLASSES
 PAD = SIZE
 HIDDEN = 16
 WINDOW = (-2, -1, 1, 2)
-BATCH = 8192
+#: Words of one step of training, and words scored at once.
+BATCH, SCORED = 8192, 16384
 RATE = 0.1
 #: Every so many documents, by a hash of the text, one is in the first round of training.
 FIRST_ROUND = 8
@@ -161,7 +162,7 @@ class Network:
             h += self.embed[place].take(window[place], axis=0)
         h += self.hidden
         h = np.tanh(np.ascontiguousarray(h.T))  # from here on a column each
-        p, logs = _softmax(self.classes.T @ h + self.class_bias[:, None], group)
+        p, logs = _softmax(self.classes.T @ h + self.class_bias[:, None], group, gradient is not None)
         back = None
         if gradient is not None:
             gradient.classes[...] = h @ p.T
@@ -171,7 +172,8 @@ class Network:
         for c, (a, b) in enumerate(zip(ends, ends[1:])):
             if a < b:
                 part = h[:, a:b]
-                p, within = _softmax(self.words[c].T @ part + self.word_bias[c][:, None], own[a:b])
+                p, within = _softmax(
+                    self.words[c].T @ part + self.word_bias[c][:, None], own[a:b], gradient is not None)
                 logs[a:b] += within
                 if gradient is not None:
                     gradient.words[c] = part @ p.T
@@ -191,15 +193,17 @@ class Network:
         return result, gradient
 
 
-def _softmax(logits: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Probabilities, a column each, less 1 at its own row (the loss gradient), and its log-probability."""
+def _softmax(logits: np.ndarray, own: np.ndarray, loss: bool) -> tuple[np.ndarray, np.ndarray]:
+    """The log-probability of each column's own row; with ``loss`` also its gradient, the probabilities
+    less 1 at that row."""
     columns = np.arange(len(own))
     logits -= logits.max(0)
     logs = logits[own, columns]
     np.exp(logits, out=logits)
     total = logits.sum(0)
-    logits /= total
-    logits[own, columns] -= 1
+    if loss:
+        logits /= total
+        logits[own, columns] -= 1
     return logits, (logs - np.log(total)).astype(np.float64)
 
 
@@ -229,9 +233,9 @@ def _numbered(texts: list[bytes], known: pa.Array):
     return numbers, places, document
 
 
-def _batches(numbers: np.ndarray, places: np.ndarray):
-    for i in range(0, len(places), BATCH):
-        at = places[i:i + BATCH]
+def _batches(numbers: np.ndarray, places: np.ndarray, size: int = BATCH):
+    for i in range(0, len(places), size):
+        at = places[i:i + size]
         yield i, np.stack([numbers[at + o] for o in WINDOW]), numbers[at]
 
 
@@ -341,9 +345,9 @@ def score(docs: DataFrame, words: Vocabulary, flat: np.ndarray) -> DataFrame:
         for part, texts in text_slices(batches):
             numbers, places, document = _numbered(texts, known)
             sums = np.zeros(len(texts))
-            for i, window, target in _batches(numbers, places):
+            for i, window, target in _batches(numbers, places, SCORED):
                 logs = model.log_probabilities(window, target)
-                sums += np.bincount(document[i:i + BATCH], weights=logs, minlength=len(texts))
+                sums += np.bincount(document[i:i + SCORED], weights=logs, minlength=len(texts))
             n = np.bincount(document, minlength=len(texts))
             rare = np.bincount(document[numbers[places] >= WORDS], minlength=len(texts))
             yield pa.RecordBatch.from_pydict({
