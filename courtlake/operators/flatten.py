@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from courtlake import schemas
 from courtlake.functions.text import extras, get_or_default
 
-# A table this wide points at keys that are data, not column names.
-MAX_SPREAD_COLUMNS = 2000
+# Bits of a row position below its side: wider than any array's positions.
+SIDE_SHIFT = 40
 
 
 def flatten_sides(docs: DataFrame, payload: str = "boxScoreAdvanced") -> DataFrame:
@@ -44,7 +44,7 @@ def flatten_sides(docs: DataFrame, payload: str = "boxScoreAdvanced") -> DataFra
         *carried, "side", F.map_filter("team", lambda k, _: k != "players").alias("team"),
         "_player.player", "_player.statistics",
         # Home players come first whatever their number.
-        (F.col("_side_pos") * F.lit(1 << 20) + F.col("_player_pos")).alias("_row_pos"),
+        (F.shiftleft(F.col("_side_pos").cast("bigint"), SIDE_SHIFT) + F.col("_player_pos")).alias("_row_pos"),
     )
 
 
@@ -73,7 +73,7 @@ def spread_map(df: DataFrame, column: str, keys: list[str] | None = None) -> Dat
     """One text column per map key, replacing the map.
 
     Without ``keys`` the set of columns is the union over all rows; only the
-    distinct names reach the driver, and a runaway number of them is an error.
+    distinct names reach the driver, where the schema that they make is kept anyway.
     """
     names = map_key_names(df, column) if keys is None else keys
     others = [c for c in df.columns if c != column and c not in names]
@@ -81,13 +81,8 @@ def spread_map(df: DataFrame, column: str, keys: list[str] | None = None) -> Dat
 
 
 def map_key_names(df: DataFrame, column: str) -> list[str]:
-    found = (
-        df.select(F.explode(F.map_keys(column)).alias("k")).distinct()
-        .limit(MAX_SPREAD_COLUMNS + 1).collect()
-    )
-    if len(found) > MAX_SPREAD_COLUMNS:
-        raise ValueError(f"{column} holds more than {MAX_SPREAD_COLUMNS} distinct keys")
-    return sorted(row.k for row in found)
+    found = df.select(F.explode(F.map_keys(column)).alias("k")).distinct()
+    return sorted(row.k for row in found.collect())
 
 
 def open_columns(df: DataFrame, column: str, declared: list[str]) -> DataFrame:

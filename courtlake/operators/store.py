@@ -42,7 +42,8 @@ class GoldStore:
         return f"{self.root}/{table}"
 
     def snapshots(self, table: str) -> SnapshotTable:
-        return SnapshotTable(self.spark, self.path(table), f"{GOLD[table].schema}, {AS_OF} date")
+        spec = GOLD[table]
+        return SnapshotTable(self.spark, self.path(table), f"{spec.schema}, {AS_OF} date", tuple(spec.primary_key))
 
     def buckets(self, table: str) -> int:
         return self.dimension_buckets if table in schemas.DIMENSIONS else self.fact_buckets

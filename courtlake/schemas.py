@@ -57,7 +57,7 @@ TEAM_COUNT_FIELDS = [
 TEAM_PERCENT_FIELDS = ["FG_PCT", "FG3_PCT", "FT_PCT"]
 
 # Order of the input, carried from the scan to every "keep the first" decision.
-ORDER_COLUMNS = "_manifest_pos bigint, _row_pos int"
+ORDER_COLUMNS = "_manifest_pos bigint, _row_pos bigint"
 
 SILVER = {
     "boxscores": (

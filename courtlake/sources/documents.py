@@ -203,6 +203,13 @@ def parse_json_array(df: DataFrame, text_column: str, schema: str) -> DataFrame:
     )
 
 
+def malformed_arrays(spark: SparkSession, path: str) -> DataFrame:
+    """(_file, text) of files that hold no JSON array of objects; :func:`scan_json_array` has no rows of them."""
+    files = spark.read.text(path, wholetext=True)
+    items = F.from_json("value", ArrayType(StructType.fromDDL(f"{CORRUPT} string")))
+    return files.where(items.isNull()).select(F.col("_metadata.file_name").alias("_file"), F.col("value").alias("text"))
+
+
 # Work lists up to this many bytes are sent to every task; larger ones are shuffled.
 SMALL_LIST_BYTES = 32 * 1024 * 1024
 

@@ -220,11 +220,11 @@ def file_order(spark, sf_dir):
 
 @query("flatten_nested", f"""
 WITH {raw.GAMES_SQL}, f AS (SELECT * FROM g WHERE st <> 'P')
-SELECT game_id, 'HOME' AS side, home_id AS team_id, (c * 4 + 1)::VARCHAR AS person, 0 AS row_pos FROM f
+SELECT game_id, 'HOME' AS side, home_id AS team_id, (c * 4 + 1)::VARCHAR AS person, 0::BIGINT AS row_pos FROM f
 UNION ALL SELECT game_id, 'HOME', home_id, (c * 4 + 2)::VARCHAR, 1 FROM f
 UNION ALL SELECT game_id, 'HOME', home_id, (c * 4 + 1)::VARCHAR, 2 FROM f
-UNION ALL SELECT game_id, 'AWAY', away_id, (c * 4 + 3)::VARCHAR, 1048576 FROM f
-UNION ALL SELECT game_id, 'AWAY', away_id, c || '.5', 1048577 FROM f
+UNION ALL SELECT game_id, 'AWAY', away_id, (c * 4 + 3)::VARCHAR, 1::BIGINT << 40 FROM f
+UNION ALL SELECT game_id, 'AWAY', away_id, c || '.5', (1::BIGINT << 40) + 1 FROM f
 """)
 def flatten_nested(spark, sf_dir):
     rows = flatten.flatten_sides(raw.documents(spark, sf_dir, "boxscores"))
@@ -368,7 +368,7 @@ def shot_rows(spark, sf_dir):
 
 
 @query("quarantined_ids", f"""
-WITH {SILVER_SQL} SELECT game_id, game_date, 1048577 AS row_pos FROM g WHERE st <> 'P'
+WITH {SILVER_SQL} SELECT game_id, game_date, (1::BIGINT << 40) + 1 AS row_pos FROM g WHERE st <> 'P'
 """)
 def quarantined_ids(spark, sf_dir):
     return _silver(spark, sf_dir, "boxscores").quarantine["boxscores"].select(

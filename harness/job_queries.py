@@ -337,7 +337,7 @@ WITH {raw.GAMES_SQL}
 SELECT 'boxscores' AS dataset, game_id AS file_key, game_date, NULL::BIGINT AS row_pos, 'malformed' AS reason,
        true AS fails, '{BROKEN}' AS detail FROM g WHERE k % 97 = 5
 UNION ALL
-SELECT 'boxscores', game_id, game_date, 1048577, 'an id is no integer', false, c || '.5'
+SELECT 'boxscores', game_id, game_date, (1::BIGINT << 40) + 1, 'an id is no integer', false, c || '.5'
 FROM g WHERE k % 97 <> 5 AND st <> 'P'
 """)
 def quarantine_rows(spark, sf_dir):

@@ -46,7 +46,7 @@ players_of AS (
          'PT' || (k % 48) || 'M' || (k % 60) || '.50S', (k % 300) + 0.25, 1
   FROM season_g WHERE st <> 'P'
   UNION ALL
-  SELECT *, 'AWAY', away_id, '', c * 4 + 3, 'A' || c, 'Three', '', '', NULL, 1048576
+  SELECT *, 'AWAY', away_id, '', c * 4 + 3, 'A' || c, 'Three', '', '', NULL, 1::BIGINT << 40
   FROM season_g WHERE st <> 'P'
 )"""
 

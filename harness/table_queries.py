@@ -340,6 +340,22 @@ def ordered_layout(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+CLUSTER_FILES = 16
+
+
+@query("clustered_layout", """
+SELECT 'l_orderkey' AS filtered, count(*) AS n_rows, true AS skips_files FROM lineitem
+UNION ALL SELECT 'l_partkey', count(*), true FROM lineitem
+""")
+def clustered_layout(spark, sf_dir):
+    """Whether a filter on either key leaves out a third of the files or more."""
+    path = shared_dir(spark, "clustered")
+    rows = lines(spark, sf_dir).select("l_orderkey", "l_partkey", "l_quantity")
+    sinks.write_dim(sinks.clustered_layout(rows, ["l_orderkey", "l_partkey"], CLUSTER_FILES), path)
+    shares = sinks.range_shares(spark.read.parquet(path), ["l_orderkey", "l_partkey"])
+    return shares.select("filtered", "n_rows", (F.col("share") * 3 <= 2).alias("skips_files"))
+
+
 # ---- work lists ----------------------------------------------------------
 
 def calendar(spark, sf_dir):

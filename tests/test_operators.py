@@ -7,7 +7,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from courtlake.operators import contracts, dedupe, refs, report, upsert, worklist
+from courtlake.operators import contracts, dedupe, flatten, refs, report, sinks, upsert, worklist
 from courtlake.schemas import Contract
 
 
@@ -147,3 +147,30 @@ def test_random_sample(spark):
     assert sample(whole, 1) == sample(whole.repartition(13), 1) != sample(whole, 2)
     halves = [report.random_sample(whole.where(f"id % 2 = {i}"), 9, 1) for i in (0, 1)]
     assert sample(halves[0].union(halves[1]), 1) == sample(whole, 1)
+
+
+def shares(spark, df, path, columns):
+    df.write.parquet(path)
+    return {r.filtered: r.share for r in sinks.range_shares(spark.read.parquet(path), columns).collect()}
+
+
+def test_clustered_files_serve_a_filter_on_each_column(spark, tmp_path):
+    # x is skewed: half of the rows share one value.
+    rows = spark.range(20_000).selectExpr("if(id % 2 = 0, 7, id * 7919 % 10007) AS x", "id * 104729 % 10009 AS y",
+                                          "id AS _cell")
+    both = shares(spark, sinks.clustered_layout(rows, ["x", "y"], 16), str(tmp_path / "z"), ["x", "y"])
+    first = shares(spark, sinks.ordered_layout(rows, ["x", "y"]), str(tmp_path / "o"), ["x", "y"])
+    assert both["x"] < 0.5 and both["y"] < 0.67 and first["y"] > 0.9
+    stored = spark.read.parquet(str(tmp_path / "z"))
+    assert stored.columns == ["x", "y", "_cell"] and stored.exceptAll(rows).isEmpty() and stored.count() == 20_000
+
+
+def test_clustering_with_nulls_and_without_rows(spark):
+    rows = spark.createDataFrame([(None, 1), (2, None), (2, None), (None, None)], "x int, y int")
+    assert sinks.clustered_layout(rows, ["x", "y"], 4).exceptAll(rows).isEmpty()
+    assert sinks.clustered_layout(rows.where("x > 5"), ["x", "y"], 4).count() == 0
+
+
+def test_a_map_with_very_many_names_is_spread(spark):
+    wide = spark.range(1).selectExpr("map_from_entries(transform(sequence(1, 3000), i -> (concat('k', i), i))) AS m")
+    assert len(flatten.spread_map(wide, "m").columns) == 3000
