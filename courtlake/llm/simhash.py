@@ -247,7 +247,11 @@ def near_groups(spark: SparkSession, docs: DataFrame, kind: Sketch = TWO_BITS) -
     doc_id never names a group: it gets the smallest other id of its sketch, or null. Extra
     columns are left behind; an empty table gives an empty one.
     """
-    own = saved(spark, sketches(docs, kind), "simhash-sketches")
+    return sketch_groups(spark, saved(spark, sketches(docs, kind), "simhash-sketches"), kind)
+
+
+def sketch_groups(spark: SparkSession, own: DataFrame, kind: Sketch = TWO_BITS) -> DataFrame:
+    """As :func:`near_groups`, for written rows of ``doc_id, sketch``."""
     prints = saved(spark, own.groupBy("sketch").agg(F.min("doc_id").alias("rep")),
                    "simhash-prints")
     links = _links(_anchor_rows(prints.where("rep is not null"), kind), kind)
@@ -264,13 +268,14 @@ def near_groups(spark: SparkSession, docs: DataFrame, kind: Sketch = TWO_BITS) -
 def one_of_each(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay: of each group of near copies the one with the smallest doc_id.
 
-    Near copies have similarity 0.8 or more over five-word runs, compared exactly (``similar.py``).
+    Near copies have SimHash fingerprints at most 2 bits apart, or similarity 0.8 or more over
+    five-word runs, compared exactly (``similar.py``).
     Rows that repeat this doc_id stay with it; rows without a doc_id can't be told apart and all
     stay. All columns are kept.
     """
     from courtlake.llm.similar import similar_groups  # it takes its runs of words from here
 
-    gone = similar_groups(spark, docs).where("doc_id <> component_id").select(
+    gone = similar_groups(spark, docs, fingerprints=True).where("doc_id <> component_id").select(
         F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, docs.doc_id == F.col("_gone"), "left_anti")
 

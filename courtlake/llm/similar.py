@@ -1,5 +1,7 @@
 """Near copies by similarity: all pairs whose sets of five-word runs have Jaccard 0.8 or more.
 
+The pipeline adds the links of SimHash fingerprints (``simhash.py``) at most 2 of 64 bits apart.
+
 All sets are put into one order, rare runs first. Of a set of n runs the first n - ceil(0.8 n) + 1
 are its prefix; two sets of similarity 0.8 or more share a run of their prefixes, wherever they
 differ. So sets meet at the runs of their prefixes, and nothing is lost before the exact check.
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 
 from courtlake.llm.common import arrow_batch, ids_and_bytes, saved, text_slices
 from courtlake.llm.components import components
-from courtlake.llm.simhash import shingle_hashes
+from courtlake.llm.simhash import TWO_BITS, shingle_hashes, sketch_groups, sketch_of
 
 WORDS = 5
 #: Least similarity as a fraction: 4 / 5.
@@ -60,8 +62,9 @@ def bitmap(runs: np.ndarray) -> bytes:
 
 
 def _nodes(docs: DataFrame) -> DataFrame:
-    """``doc_id, node`` of every row; then, in rows with a ``slice``, the task's counts of runs."""
-    schema = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("slice", pa.int32()), ("counts", pa.binary())])
+    """``doc_id, node, sketch`` of every row; then, in rows with a ``slice``, the task's counts of runs."""
+    schema = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("sketch", pa.binary()),
+                        ("slice", pa.int32()), ("counts", pa.binary())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(COUNTERS, np.uint32)
@@ -69,12 +72,13 @@ def _nodes(docs: DataFrame) -> DataFrame:
             sets = [run_set(t) for t in texts]
             counts += np.bincount(np.concatenate(sets) & (COUNTERS - 1), minlength=COUNTERS).astype(np.uint32)
             yield arrow_batch(schema, doc_id=part.column("doc_id"), node=[node_of(s) for s in sets],
+                              sketch=[sketch_of(t, TWO_BITS) for t in texts],
                               slice=pa.nulls(len(sets), pa.int32()), counts=pa.nulls(len(sets), pa.binary()))
         filled = [(i, c.tobytes()) for i, c in enumerate(counts.reshape(SLICES, -1)) if c.any()]
         yield arrow_batch(schema, doc_id=pa.nulls(len(filled), pa.int64()), node=pa.nulls(len(filled), pa.int64()),
-                          slice=[f[0] for f in filled], counts=[f[1] for f in filled])
+                          sketch=pa.nulls(len(filled), pa.binary()), slice=[f[0] for f in filled], counts=[f[1] for f in filled])
 
-    return ids_and_bytes(docs).mapInArrow(run, "doc_id long, node long, slice int, counts binary")
+    return ids_and_bytes(docs).mapInArrow(run, "doc_id long, node long, sketch binary, slice int, counts binary")
 
 
 def _counts(nodes: DataFrame) -> np.ndarray:
@@ -89,6 +93,15 @@ def _counts(nodes: DataFrame) -> np.ndarray:
     return counts.ravel()
 
 
+def _alike(spark: SparkSession, nodes: DataFrame) -> DataFrame:
+    """``a, b``: a star of links for each group that the fingerprints make."""
+    named = nodes.where("slice is null and doc_id is not null")
+    own = saved(spark, named.select(F.col("node").alias("doc_id"), "sketch").distinct(), "similar-sketches")
+    groups = sketch_groups(spark, own).where("doc_id <> component_id")
+    return saved(spark, groups.select(
+        F.col("component_id").alias("a"), F.col("doc_id").alias("b")).distinct(), "similar-alike")
+
+
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
     ends = np.cumsum([0, *map(len, arrays)])
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(arrays), pa.int64()))
@@ -203,10 +216,11 @@ def _pairs(cells: DataFrame) -> DataFrame:
     return cells.repartition("h", "lo", "hi").sortWithinPartitions("h", "lo", "hi").mapInArrow(run, "a long, b long")
 
 
-def similar_groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
+def similar_groups(spark: SparkSession, docs: DataFrame, fingerprints: bool = False) -> DataFrame:
     """``doc_id, component_id`` of every row of ``docs(doc_id, text)``.
 
-    Links are pairs of similarity 0.8 or more; nulls, blanks and repeated rows are treated as in
+    Links are pairs of similarity 0.8 or more; with ``fingerprints`` also those whose SimHash
+    fingerprints are at most 2 bits apart. Nulls, blanks and repeated rows are treated as in
     ``simhash.near_groups``. A text of fewer than five words is one run.
     """
     nodes = saved(spark, _nodes(docs), "similar-nodes")
@@ -221,6 +235,8 @@ def similar_groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
             F.least("node", before.node).alias("a"), F.greatest("node", before.node).alias("b")).distinct(),
         "similar-first")
     links = _verified(spark, docs, linked, first)
+    if fingerprints:
+        links = links.union(_alike(spark, nodes))
     roots = saved(spark, components(spark, links, "similar-components"), "similar-roots")
     rest = saved(
         spark,

@@ -129,3 +129,14 @@ def test_components(spark):
     assert got == {**{i: 100 for i in range(100, 161)}, 1: 1, 2: 1, 3: 1}
     assert found.count() == len(got)
     assert components(spark, spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_the_pipeline_drops_near_copies_by_their_fingerprints(spark):
+    """Two texts of one refrain with other endings: equal fingerprints, similarity below 0.8 over runs."""
+    refrain = "we meet again " * 60
+    docs = spark.createDataFrame([
+        (1, refrain + "one two three four five six"), (2, refrain + "red green blue black white grey"),
+        (3, "nothing of this is found in any other text here"), (None, refrain + "seven eight nine ten"),
+    ], "doc_id long, text string")
+    kept = simhash.one_of_each(spark, docs).collect()
+    assert sorted((r.doc_id or 0) for r in kept) == [0, 1, 3]
