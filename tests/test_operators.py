@@ -174,3 +174,53 @@ def test_clustering_with_nulls_and_without_rows(spark):
 def test_a_map_with_very_many_names_is_spread(spark):
     wide = spark.range(1).selectExpr("map_from_entries(transform(sequence(1, 3000), i -> (concat('k', i), i))) AS m")
     assert len(flatten.spread_map(wide, "m").columns) == 3000
+
+
+def test_a_long_work_list_is_cut_by_games_and_written_once(spark, monkeypatch):
+    from courtlake.sources import documents
+
+    monkeypatch.setattr(documents, "SMALL_LIST_BYTES", 0)
+    monkeypatch.setattr(documents, "PART_GAMES", 10)
+    seen = spark.sparkContext.accumulator(0)
+
+    def rows(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    day = F.lit("2020-01-01").cast("date").alias("game_date")
+    entries = spark.range(200).select(
+        day, F.col("id").alias("manifest_pos"), F.col("id").cast("string").alias("game_id"))
+    listed = documents.listed_games(entries.mapInArrow(rows, entries.schema))
+    docs = spark.range(0, 400, 2).select(F.col("id").cast("string").alias("file_key"))
+    for _ in range(3):
+        assert documents.on_list(docs, listed).count() == 100
+    assert seen.value == 200
+    assert listed.rdd.getNumPartitions() == 20
+
+
+def test_documents_are_made_in_tasks_of_bounded_rows(spark, monkeypatch):
+    from harness import raw
+
+    monkeypatch.setattr(raw, "TASK_ROWS", 7)
+    cores = spark.sparkContext.defaultParallelism
+    wide = raw.spread(spark, spark.range(0, 70 * cores, 1, cores))
+    assert wide.rdd.getNumPartitions() == 10 * cores and wide.distinct().count() == 70 * cores
+    assert raw.spread(spark, spark.range(0, 3, 1, 1)).rdd.getNumPartitions() == cores
+
+
+def test_a_report_computes_the_checked_rows_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def rows(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.createDataFrame([(1, 5), (1, 50), (2, None)], "k int, v int")
+    results = contracts.check_contract(
+        df.mapInArrow(rows, df.schema), Contract(primary_key=("k",), not_null=("v",), ranges=(("v", 0, 10),)), "t")
+    lines = [r.line for r in contracts.validation_report(results).orderBy("seq").collect()]
+    assert lines == ["checked 1, passed 0, failed 1", "DUPLICATE PK: 1 rows on ['k']", "NULL: v has 1/3 nulls",
+                     "RANGE: v has 1 values above 10"]
+    assert seen.value == 3
