@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from courtlake.llm.tokens import forget
 from courtlake.session import shared_dir
 
 #: Rows of one Arrow batch that a task hands back to Spark.
@@ -45,8 +46,14 @@ def ids_and_bytes(docs: DataFrame) -> DataFrame:
     )
 
 
-def text_slices(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """The batches in slices of about ``TEXT_BYTES``, each with its texts as bytes, null as empty."""
+def text_slices(batches: Iterable[pa.RecordBatch],
+                encoding: bool = False) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """The batches in slices of about ``TEXT_BYTES``, each with its texts as bytes, null as empty.
+
+    A task that isn't ``encoding`` frees what a tokenizer left in its worker process.
+    """
+    if not encoding:
+        forget()
     for batch in batches:
         texts = batch.column("text")
         start, size = 0, 0

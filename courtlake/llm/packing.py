@@ -86,7 +86,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, keeps_space: bool, end_id: int,
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, task = encoder(tokenizer, keeps_space).ids, TaskContext.get().partitionId()
         seen = [0] * (capacity + 1)
-        for part, texts in text_slices(batches):
+        for part, texts in text_slices(batches, encoding=True):
             rows, cut = [], []
             for doc_id, ids in zip(part.column("doc_id").to_pylist(), encode(texts)):
                 ids += end

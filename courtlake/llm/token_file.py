@@ -35,7 +35,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, keeps_space: bool,
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, place = encoder(tokenizer, keeps_space).ids, 0
-        for part, texts in text_slices(batches):
+        for part, texts in text_slices(batches, encoding=True):
             found = [ids + end for ids in encode(texts)]
             sizes = np.array([len(ids) // 4 for ids in found], np.int64)
             ends = place + np.cumsum(sizes)

@@ -11,10 +11,11 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
+from string import ascii_letters
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: New pieces a worker remembers; then they become the older ones, and those before are forgotten
 #: unless they were met again (about 250 MB for both).
@@ -47,6 +48,7 @@ class Encoder:
         self._edge = np.zeros(max(vocabulary.values()) + 1, bool)
         for token, i in vocabulary.items():
             self._edge[i] = token.startswith("\u0120") if keeps_space else token.endswith("</w>")
+        self._plain = self._plain_tokenizer()
         self._new: dict = {}
         self._old: dict = {}
         # A full stop or comma behind a letter or digit is a token of its own, but for letters that the
@@ -65,13 +67,25 @@ class Encoder:
         return found
 
     def _encoded_words(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters only."""
+        if self._plain is None:
+            return self._encoded_running(self._tokenizer, words)
+        simple = [w.isascii() for w in words]
+        plain = iter(self._encoded_running(self._plain, [w for w, s in zip(words, simple) if s]))
+        others = iter(self._encoded_running(self._tokenizer, [w for w, s in zip(words, simple) if not s]))
+        return [next(plain if s else others) for s in simple]
+
+    def _encoded_running(self, tokenizer, words: list[str]) -> list[bytes]:
         """Ids of words of letters only: as running text, cut again where a word's tokens end."""
         space = " " if self._keeps_space else ""
         groups = [words[i:i + TOGETHER] for i in range(0, len(words), TOGETHER)]
+        texts = [space + " ".join(g) for g in groups]
+        if not texts:
+            return []
+        if tokenizer is self._plain:
+            texts = [self._plain_text(t) for t in texts]
         found: list[bytes] = []
-        together = self._tokenizer.encode_batch_fast(
-            [space + " ".join(g) for g in groups], add_special_tokens=False)
-        for group, e in zip(groups, together):
+        for group, e in zip(groups, tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
             ids = np.array(e.ids, "<u4")
             edges = np.flatnonzero(self._edge[ids])
             if len(edges) != len(group):  # a letter whose lower case isn't one: a word is cut further
@@ -82,6 +96,26 @@ class Encoder:
             found += [data[4 * a:4 * b] for a, b in zip(cuts, cuts[1:])]
         return found
 
+    def _plain_text(self, text: str) -> str:
+        """What normalizer and pre-tokenizer make of ASCII words, with a space between words."""
+        text = text.lower() if self._lowers else text
+        return text.replace(" ", " \u0120") if self._keeps_space else text
+
+    def _plain_tokenizer(self):
+        """The same merges without regular expressions, for words of ASCII letters; None if they differ there."""
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        probe = f" {ascii_letters} a Bc"
+        normalizer, cutter = self._tokenizer.normalizer, self._tokenizer.pre_tokenizer
+        normal = normalizer.normalize_str(probe) if normalizer else probe
+        self._lowers = normal != probe
+        words = [w for w, _ in cutter.pre_tokenize_str(normal)] if cutter else []
+        if normal not in (probe, probe.lower()) or words != self._plain_text(probe).split():
+            return None
+        plain = Tokenizer(self._tokenizer.model)
+        plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        return plain
+
     def _ends_word(self, letter: str) -> bool:
         """Whether a full stop or comma behind this letter or digit leaves its tokens as they are."""
         known = self._stands.get(letter)
@@ -93,9 +127,7 @@ class Encoder:
         return known
 
     def _pieces(self, text: bytes) -> list:
-        """Words as bytes; or pieces as they stand, in a tuple, and those behind a space without it."""
-        if not self._keeps_space:
-            return text.split()
+        """Pieces as they stand, in a tuple, and those behind a space without it."""
         decoded = text.decode()
         if _single_white(decoded):
             # Then each line feed is a token, and so is no part of a word beside it.
@@ -109,10 +141,35 @@ class Encoder:
         return [(first,), *rest]
 
     def _text(self, piece) -> str:
-        if not self._keeps_space:
-            return piece.decode()
         return piece[0] if isinstance(piece, tuple) else " " + piece
 
+    def _learn_words(self, pieces: list[bytes]) -> None:
+        """As :meth:`_learn`, for pieces without white space around them."""
+        new, marks = self._new, self._marks
+        gone = list(map(self._old.get, pieces))
+        new.update((p, ids) for p, ids in zip(pieces, gone) if ids is not None)
+        wanted = [p for p, ids in zip(pieces, gone) if ids is None]
+        letters: dict[bytes, str] = {}
+        others: dict[bytes, str] = {}
+        marked = []
+        for p, text in zip(wanted, [p.decode() for p in wanted]):
+            if text.isalpha():
+                letters[p] = text
+                continue
+            mark = text[-1:]
+            if mark in marks and len(text) > 1 and text[-2].isalnum() and self._ends_word(text[-2]):
+                stem, text = p[:-1], text[:-1]
+                marked.append((p, stem, mark))
+                if stem in new:
+                    continue
+                (letters if text.isalpha() else others)[stem] = text
+            else:
+                others[p] = text
+        new.update(zip(letters, self._encoded_words(list(letters.values()))))
+        new.update(zip(others, self._encoded(list(others.values()))))
+        for p, stem, mark in marked:
+            new[p] = new[stem] + marks[mark]
+
     def _learn(self, pieces: set) -> None:
         old, new = self._old, self._new
         wanted: dict = {}
@@ -121,7 +178,7 @@ class Encoder:
             if p in old:
                 new[p] = old[p]
                 continue
-            text = p[0] if isinstance(p, tuple) else p if self._keeps_space else p.decode()
+            text = p[0] if isinstance(p, tuple) else p
             if text[-1:] in self._marks and len(text) > 1 and text[-2].isalnum() and self._ends_word(text[-2]):
                 text, mark = text[:-1], text[-1]
                 stem = (text,) if isinstance(p, tuple) else p[:-1]
@@ -143,6 +200,9 @@ class Encoder:
         if len(self._new) > REMEMBERED:
             self._old, self._new = self._new, {}
         whole = [any(s in t for s in self._special) for t in texts]
+        if not self._keeps_space:
+            joined = self._word_ids([b"" if w else t for t, w in zip(texts, whole)])
+            return [self._encode_whole(t) if w else j for t, w, j in zip(texts, whole, joined)]
         cut = [[] if w else self._pieces(t) for t, w in zip(texts, whole)]
         known = [list(map(self._new.get, pieces)) for pieces in cut]
         gaps = [[i for i, ids in enumerate(k) if ids is None] if None in k else () for k in known]
@@ -152,6 +212,27 @@ class Encoder:
                 k[i] = self._new[pieces[i]]
         return [self._encode_whole(t) if w else b"".join(k) for t, w, k in zip(texts, whole, known)]
 
+    def _word_ids(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of texts cut at any white space: each different word of them is looked up once."""
+        cut = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).cast(pa.string()))
+        words = cut.flatten().dictionary_encode()
+        # As an array of objects first: ``to_pylist`` makes an Arrow scalar of each.
+        pieces = words.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+        known = list(map(self._new.get, pieces))
+        gaps = [i for i, ids in enumerate(known) if ids is None]
+        self._learn_words([pieces[i] for i in gaps])
+        for i in gaps:
+            known[i] = self._new[pieces[i]]
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        starts = np.cumsum(sizes) - sizes
+        which = words.indices.to_numpy()
+        n = sizes[which]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        taken = np.arange(ends[-1]) + np.repeat(starts[which] - ends[:-1], n)
+        data = np.frombuffer(b"".join(known), "<u4")[taken].tobytes()
+        bounds = (4 * ends[cut.offsets.to_numpy()]).tolist()
+        return [data[a:b] for a, b in zip(bounds, bounds[1:])]
+
     def _encode_whole(self, text: bytes) -> bytes:
         found = self._tokenizer.encode(text.decode(), add_special_tokens=False)
         return np.array(found.ids, "<u4").tobytes()
@@ -170,10 +251,22 @@ def _plain_cut(text: str) -> list[str]:
     return text.split(" ")
 
 
-@lru_cache(maxsize=4)
+_encoders: dict[tuple[str, bool], Encoder] = {}
+
+
 def encoder(path: str, keeps_space: bool) -> Encoder:
-    """One for each worker process."""
-    return Encoder(path, keeps_space)
+    """The worker process's own, until a task of another kind calls :func:`forget`."""
+    if (path, keeps_space) not in _encoders:
+        _encoders[path, keeps_space] = Encoder(path, keeps_space)
+    return _encoders[path, keeps_space]
+
+
+def forget() -> None:
+    """Free the memory of tokenizers and of the pieces they met (some 250 MB) in this worker process.
+
+    Spark gives an idle worker to the tasks of the next stage, whatever it did before.
+    """
+    _encoders.clear()
 
 
 def id_lists(parts: Iterable[bytes]) -> pa.ListArray:

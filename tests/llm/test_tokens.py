@@ -6,13 +6,15 @@ import bisect
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from courtlake.llm import packing, token_file
+from courtlake.llm import packing, token_file, tokens
+from courtlake.llm.common import text_slices
 from courtlake.llm.queries import QUERIES
 from courtlake.llm.tokens import Encoder
 from courtlake.session import shared_dir
@@ -55,6 +57,33 @@ def test_every_letter_before_a_mark(path):
         assert found == plain(path, texts)
 
 
+@pytest.mark.parametrize("path", KINDS)
+def test_plain_words_need_no_regular_expressions(path):
+    encoder, words = Encoder(path, KINDS[path]), ["the", "Zyzzogeton", "QI", "a", "ofananst", "The", "the"]
+    expected = [plain(path, [" " + w if KINDS[path] else w])[0] for w in words]
+    encoder._tokenizer = None
+    assert [np.frombuffer(i, "<u4").tolist() for i in encoder._encoded_words(words)] == expected
+
+
+def test_words_of_a_slice_are_learned_once(monkeypatch):
+    encoder, asked = Encoder(WORD, False), []
+    learn = encoder._learn_words
+    monkeypatch.setattr(encoder, "_learn_words", lambda pieces: (asked.extend(pieces), learn(pieces)))
+    texts = [" one two, one\ttwo ", "", "one", "\n", "two, \u00c9one"]
+    for _ in range(2):
+        assert [np.frombuffer(i, "<u4").tolist() for i in encoder.ids([t.encode() for t in texts])] == plain(WORD, texts)
+    assert sorted(a for a in asked if a) == sorted(w.encode() for w in ["one", "two,", "two", "\u00c9one"])
+
+
+def test_other_tasks_free_the_tokenizers():
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1], "text": [b"a b"]})
+    first = tokens.encoder(WORD, False)
+    list(text_slices([batch], encoding=True))
+    assert tokens.encoder(WORD, False) is first
+    list(text_slices([batch]))
+    assert not tokens._encoders
+
+
 def test_token_file(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").orderBy("doc_id").collect()
     expected, start = {}, 0
