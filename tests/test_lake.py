@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from courtlake import schemas
 from courtlake.operators import store as st
 from courtlake.operators import ledger, worklist
-from courtlake.plans import jobs, silver
+from courtlake.plans import gold as gold_plan, jobs, silver
 from courtlake.sources import documents, resultset, tables
 from courtlake.streaming.incremental import incremental_lake_run
 
@@ -388,3 +388,27 @@ def test_team_files_left_out_are_kept(spark, lake, tmp_path):
     silver.build_dims_silver(spark, *silver.scan_dims(spark, str(lake)), f"{tmp_path}/s")
     kept = sorted((r.scope, r.file_key, r.reason) for r in ledger.open_rejects(spark, f"{tmp_path}/s").collect())
     assert kept == [("dimensions", "2", "a row does not fit"), ("dimensions", "3", "malformed")]
+
+
+def test_rows_that_are_held_are_not_tried_again(spark, tmp_path, monkeypatch):
+    root = tmp_path / "raw"
+    for day, game, players, shot in (("2024-01-01", "001", [1, 3], [(10, 1)]), ("2024-01-03", "003", [1], [(20, 1), (21, 3)])):
+        put(root, "manifests", day, {"game_date": day, "game_ids": [game]})
+        put(root, "boxscores", game, box([player(p) for p in players], []))
+        put(root, "shot_chart", game, shots(*shot))
+    manifests = documents.scan_manifests(spark, f"{root}/manifests")
+    store, again = st.create_tables(spark, f"{tmp_path}/gold", 2), {}
+    load_fact = gold_plan.load_fact
+
+    def seen(store, table, rows, rejects=None):
+        if st.AGAIN in rows.columns:
+            again[table] = {tuple(r) for r in rows.where(st.AGAIN).select(*st.GOLD[table].primary_key).collect()}
+        return load_fact(store, table, rows, rejects)
+
+    monkeypatch.setattr(gold_plan, "load_fact", seen)
+    for day in ("2024-01-03", "2024-01-01"):
+        jobs.process_date(spark, manifests, jobs.lake_documents(str(root)), f"{tmp_path}/silver", store, day)
+    # Player 3 is known since the earlier date: only this shot of the later one had been left out.
+    assert again["fact_shots"] == {("003", 21)}
+    assert not again["fact_player_stats"]
+    assert {r.game_event_id for r in st.scan_gold(store, "fact_shots").collect()} == {10, 20, 21}
