@@ -27,7 +27,9 @@ _BEFORE_WORD = re.compile(r" (?=\S)")
 _SPACE_RUN = re.compile(r" \s| \Z")
 #: White space other than the space and the line feed.
 _OTHER_WHITE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-_DOUBLE_WHITE = ("  ", "\n\n", " \n", "\n ")
+#: That of ASCII, and the mark of a line's first word.
+_OTHER_ASCII = [bytes([c]) for c in b"\t\r\x0b\x0c\x1c\x1d\x1e\x1f\0"]
+_DOUBLE_WHITE = (b"  ", b"\n\n", b" \n", b"\n ")
 
 
 class Encoder:
@@ -55,6 +57,7 @@ class Encoder:
         # tokenizer turns into a letter and a mark: it takes the mark and what follows together.
         self._marks = dict(zip(".,", self._encoded([".", ","])))
         self._stands: dict[str, bool] = {}
+        self._stands_before_mark = np.array([chr(c).isalnum() and c < 128 and self._ends_word(chr(c)) for c in range(256)])
 
     def _encoded(self, pieces: list[str]) -> list[bytes]:
         """Ids of pieces, none of which holds a special token: a special token stands between them."""
@@ -129,13 +132,6 @@ class Encoder:
     def _pieces(self, text: bytes) -> list:
         """Pieces as they stand, in a tuple, and those behind a space without it."""
         decoded = text.decode()
-        if _single_white(decoded):
-            # Then each line feed is a token, and so is no part of a word beside it.
-            pieces: list = []
-            for line in decoded.split("\n"):
-                first, *rest = line.split(" ")
-                pieces += [(first,), *rest, _LINE_END]
-            return pieces[:-1]
         cut = _BEFORE_WORD.split if _SPACE_RUN.search(decoded) else _plain_cut
         first, *rest = cut(decoded)
         return [(first,), *rest]
@@ -170,30 +166,42 @@ class Encoder:
         for p, stem, mark in marked:
             new[p] = new[stem] + marks[mark]
 
-    def _learn(self, pieces: set) -> None:
-        old, new = self._old, self._new
-        wanted: dict = {}
-        marked = {}
-        for p in pieces:
-            if p in old:
-                new[p] = old[p]
+    def _learn(self, pieces: list) -> list[bytes]:
+        """Remember different pieces that aren't known; their ids."""
+        new, marks, ends_word = self._new, self._marks, self._ends_word
+        found = list(map(self._old.get, pieces))
+        wanted = list(range(len(pieces)))
+        if self._old:
+            wanted = [i for i in wanted if found[i] is None]
+        words: list[str] = []
+        at: list[int] = []
+        others: dict = {}
+        marked = []
+        for i in wanted:
+            p = pieces[i]
+            if type(p) is str and p.isalpha():
+                words.append(p)
+                at.append(i)
                 continue
-            text = p[0] if isinstance(p, tuple) else p
-            if text[-1:] in self._marks and len(text) > 1 and text[-2].isalnum() and self._ends_word(text[-2]):
-                text, mark = text[:-1], text[-1]
-                stem = (text,) if isinstance(p, tuple) else p[:-1]
-                marked[p] = stem, mark
-                p = stem
-                if p in new:
-                    continue
-            wanted[p] = text
-        words, others = [], []
-        for p, text in wanted.items():
-            (words if text.isalpha() and not isinstance(p, tuple) else others).append(p)
-        new.update(zip(words, self._encoded_words([wanted[p] for p in words])))
-        new.update(zip(others, self._encoded([self._text(p) for p in others])))
-        for p, (stem, mark) in marked.items():
-            new[p] = new[stem] + self._marks[mark]
+            text = p[0] if type(p) is tuple else p
+            if text[-1:] in marks and len(text) > 1 and text[-2].isalnum() and ends_word(text[-2]):
+                marked.append((i, (text[:-1],) if type(p) is tuple else p[:-1], text[-1]))
+            else:
+                others[p] = i
+        for i, ids in zip(at, self._encoded_words(words)):
+            found[i] = ids
+        for i, ids in zip(others.values(), self._encoded(list(map(self._text, others)))):
+            found[i] = ids
+        new.update(zip(pieces, found))
+        if marked:
+            stems = [s for s in dict.fromkeys(s for _, s, _ in marked) if s not in new]
+            letters = [s for s in stems if type(s) is str and s.isalpha()]
+            rest = [s for s in stems if type(s) is tuple or not s.isalpha()]
+            new.update(zip(letters, self._encoded_words(letters)))
+            new.update(zip(rest, self._encoded(list(map(self._text, rest)))))
+            for i, stem, mark in marked:
+                found[i] = new[pieces[i]] = new[stem] + marks[mark]
+        return found
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
@@ -203,14 +211,50 @@ class Encoder:
         if not self._keeps_space:
             joined = self._word_ids([b"" if w else t for t, w in zip(texts, whole)])
             return [self._encode_whole(t) if w else j for t, w, j in zip(texts, whole, joined)]
-        cut = [[] if w else self._pieces(t) for t, w in zip(texts, whole)]
-        known = [list(map(self._new.get, pieces)) for pieces in cut]
-        gaps = [[i for i, ids in enumerate(k) if ids is None] if None in k else () for k in known]
-        self._learn({pieces[i] for pieces, own in zip(cut, gaps) for i in own})
-        for k, pieces, own in zip(known, cut, gaps):
-            for i in own:
-                k[i] = self._new[pieces[i]]
-        return [self._encode_whole(t) if w else b"".join(k) for t, w, k in zip(texts, whole, known)]
+        marked = [None if w else _marked(t) for t, w in zip(texts, whole)]
+        joined = iter(self._marked_ids([m for m in marked if m is not None]))
+        return [self._encode_whole(t) if w else self._piece_ids(t) if m is None else next(joined)
+                for t, w, m in zip(texts, whole, marked)]
+
+    def _piece_ids(self, text: bytes) -> bytes:
+        """The ids of one text, white space of any kind."""
+        pieces = self._pieces(text)
+        self._learn([p for p in dict.fromkeys(pieces) if p not in self._new])
+        return b"".join(map(self._new.__getitem__, pieces))
+
+    def _marks_apart(self, texts: pa.StringArray) -> pa.StringArray:
+        """Texts of :func:`_marked` with a full stop or comma that ends a word as a piece of its own."""
+        _, offsets, data = texts.buffers()
+        ends = np.frombuffer(offsets, np.int32)[:len(texts) + 1]
+        old = np.frombuffer(data, np.uint8)[:ends[-1]]
+        last = np.zeros(len(old), bool)
+        last[ends[1:] - 1] = True
+        last[:-1] |= old[1:] == ord(" ")
+        at = np.flatnonzero(((old == ord(".")) | (old == ord(","))) & last)
+        at = at[self._stands_before_mark[old[at - 1]]]
+        # A space and the mark of a missing space go before each.
+        place = at + 2 * np.arange(len(at))
+        found = np.zeros(len(old) + 2 * len(at), np.uint8)
+        kept = np.ones(len(found), bool)
+        kept[place] = kept[place + 1] = False
+        found[kept], found[place] = old, ord(" ")
+        ends = (ends + 2 * np.searchsorted(at, ends)).astype(np.int32)
+        return pa.StringArray.from_buffers(len(texts), pa.py_buffer(ends), pa.py_buffer(found))
+
+    def _marked_ids(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of texts of :func:`_marked`: each different piece of them is looked up once."""
+        if not texts:
+            return []
+        cut = pc.split_pattern(self._marks_apart(pa.array(texts, pa.binary()).cast(pa.string())), " ")
+        words = cut.flatten().dictionary_encode()
+        # A line feed between words is a token, and so is no part of a word beside it.
+        pieces = [(p[1:],) if p[0] == "\0" else _LINE_END if p == "\n" else p
+                  for p in words.dictionary.to_numpy(zero_copy_only=False).tolist()]
+        known = list(map(self._new.get, pieces))
+        gaps = [i for i, ids in enumerate(known) if ids is None]
+        for i, ids in zip(gaps, self._learn([pieces[i] for i in gaps])):
+            known[i] = ids
+        return _taken(known, words.indices.to_numpy(), cut.offsets.to_numpy())
 
     def _word_ids(self, texts: list[bytes]) -> list[bytes]:
         """The ids of texts cut at any white space: each different word of them is looked up once."""
@@ -223,15 +267,7 @@ class Encoder:
         self._learn_words([pieces[i] for i in gaps])
         for i in gaps:
             known[i] = self._new[pieces[i]]
-        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
-        starts = np.cumsum(sizes) - sizes
-        which = words.indices.to_numpy()
-        n = sizes[which]
-        ends = np.concatenate([[0], np.cumsum(n)])
-        taken = np.arange(ends[-1]) + np.repeat(starts[which] - ends[:-1], n)
-        data = np.frombuffer(b"".join(known), "<u4")[taken].tobytes()
-        bounds = (4 * ends[cut.offsets.to_numpy()]).tolist()
-        return [data[a:b] for a, b in zip(bounds, bounds[1:])]
+        return _taken(known, words.indices.to_numpy(), cut.offsets.to_numpy())
 
     def _encode_whole(self, text: bytes) -> bytes:
         found = self._tokenizer.encode(text.decode(), add_special_tokens=False)
@@ -241,10 +277,27 @@ class Encoder:
 _LINE_END = ("\n",)
 
 
-def _single_white(text: str) -> bool:
-    """Words with one space or line feed between them, and nothing around them."""
-    return bool(text) and text[0] not in " \n" and text[-1] not in " \n" \
-        and not any(d in text for d in _DOUBLE_WHITE) and not _OTHER_WHITE.search(text)
+def _marked(text: bytes) -> bytes | None:
+    """Words with one space or line feed between them as pieces with a space between them: line feeds are
+    pieces, and the first word of a line, with no space before it, starts with a mark. None for other texts."""
+    if not text or text[0] in b" \n" or text[-1] in b" \n" or any(d in text for d in _DOUBLE_WHITE) \
+            or any(c in text for c in _OTHER_ASCII):
+        return None
+    if not text.isascii() and _OTHER_WHITE.search(text.decode()):
+        return None
+    return b"\0" + text.replace(b"\n", b" \n \0")
+
+
+def _taken(known: list[bytes], which: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+    """Texts put together of the ids of known pieces: ``which`` of them, cut at ``offsets``."""
+    sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+    starts = np.cumsum(sizes) - sizes
+    n = sizes[which]
+    ends = np.concatenate([[0], np.cumsum(n)])
+    taken = np.arange(ends[-1]) + np.repeat(starts[which] - ends[:-1], n)
+    data = np.frombuffer(b"".join(known), "<u4")[taken].tobytes()
+    bounds = (4 * ends[offsets]).tolist()
+    return [data[a:b] for a, b in zip(bounds, bounds[1:])]
 
 
 def _plain_cut(text: str) -> list[str]:

@@ -75,6 +75,18 @@ def test_words_of_a_slice_are_learned_once(monkeypatch):
     assert sorted(a for a in asked if a) == sorted(w.encode() for w in ["one", "two,", "two", "\u00c9one"])
 
 
+def test_pieces_of_a_slice_are_learned_once(monkeypatch):
+    """A word with and without a full stop or comma behind it is one piece; also over lines and texts."""
+    encoder, asked = Encoder(BYTE, True), []
+    learn = encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda pieces: (asked.extend(pieces), learn(pieces))[1])
+    texts = ["a one two, one.\ntwo one, two,\n\u00c9, one", "one two", "", "one  two", ",", "one,.", "a\0 b, c"]
+    for _ in range(2):
+        assert [np.frombuffer(i, "<u4").tolist() for i in encoder.ids([t.encode() for t in texts])] == plain(BYTE, texts)
+    assert len(asked) == len(set(asked))
+    assert not {"two,", "one.", "one,"} & set(asked)
+
+
 def test_other_tasks_free_the_tokenizers():
     batch = pa.RecordBatch.from_pydict({"doc_id": [1], "text": [b"a b"]})
     first = tokens.encoder(WORD, False)
