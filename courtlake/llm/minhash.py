@@ -139,12 +139,17 @@ def _possible(n: Column, bits: Column, other_n: Column, other_bits: Column) -> C
 
 
 def _shared(spark: SparkSession, prints: DataFrame) -> DataFrame:
-    """``bucket, node, n, bits, crowd`` of buckets that more than one set is in."""
-    rows = prints.select(F.explode("buckets").alias("bucket"), "node", "n", "bits")
+    """``bucket, node, n, bits, crowd`` of buckets that more than one set is in.
+
+    Most buckets hold one set; sizes and bitmaps, nearly all bytes of a row, are joined to the others only.
+    """
+    rows = prints.select(F.explode("buckets").alias("bucket"), "node")
     crowds = saved(
         spark,
         rows.groupBy("bucket").agg(F.count("*").alias("crowd")).where("crowd > 1"), "minhash-crowds")
-    return saved(spark, rows.join(crowds, "bucket"), "minhash-shared")
+    members = saved(spark, rows.join(crowds, "bucket"), "minhash-members")
+    return saved(spark, members.join(prints.select("node", "n", "bits"), "node").select(
+        "bucket", "node", "n", "bits", "crowd"), "minhash-shared")
 
 
 def _stars(spark: SparkSession, shared: DataFrame) -> DataFrame:

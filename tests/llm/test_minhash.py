@@ -143,3 +143,22 @@ def test_query(spark, sf_dir):
     expected, _ = brute(docs)
     found = QUERIES["op12_minhash_near_dedup"](spark, sf_dir)
     assert sorted(repr(tuple(r)) for r in found.collect()) == expected
+
+
+def test_bitmaps_go_with_shared_buckets_only(spark, monkeypatch):
+    """Rows of all buckets are joined by bucket as two numbers; most buckets hold one set."""
+    written, write = {}, minhash.saved
+    monkeypatch.setattr(minhash, "saved", lambda s, df, name: written.setdefault(name, write(s, df, name)))
+    rows = [(i, " ".join(f"w{j}" for j in range(30)) + f" x{i}") for i in range(3)] + [(9, "a b c d e f")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    prints = minhash._sketches(docs).withColumnRenamed("doc_id", "rep")
+    shared = minhash._shared(spark, prints)
+    assert written["minhash-members"].columns == ["bucket", "node", "crowd"]
+    sets = {r.node: (r.n, r.bits, r.buckets) for r in prints.collect()}
+    crowds = {}
+    for node, (_, _, buckets) in sets.items():
+        for b in buckets:
+            crowds.setdefault(b, []).append(node)
+    expected = sorted((b, node, sets[node][0], sets[node][1], len(nodes))
+                      for b, nodes in crowds.items() if len(nodes) > 1 for node in nodes)
+    assert expected and sorted(tuple(r) for r in shared.collect()) == expected
