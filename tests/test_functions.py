@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from courtlake.functions import dates, durations, numbers, text
 from courtlake.operators.store import typed_store
 from courtlake.schemas import GoldTable
+from harness.raw import filled
 
 NAN, INF = math.nan, math.inf
 # Written out: duration, minutes with two decimals, seconds of a period clock.
@@ -129,3 +130,46 @@ def test_text(spark):
                   a=text.get_or_default(doc, "a"), e=F.size(text.extras(doc, ["b"])))
     assert [r.a for r in rows] == ["x", None, ""]
     assert [r.e for r in rows] == [1, 1, 0]
+
+
+# Forms that a cast reads, or nearly: blanks and control characters, signs, digits of other scripts, Java's forms.
+ODD_NUMBERS = [
+    None, "", " ", "\t", "n/a", "N/A", "x", "-", "+", ".", "e", "E5", "1e", "1e2", "1E2", "-1e-2", "1.", ".5", "-.5", "+.5",
+    "12", "+12", "-12", " 12 ", "\n12\n", "\x0012\x1f", "12\x7f", "1 2", "12.0", "12.50", "007", "0x10", "0x1p3", "1d", "2f",
+    "1_000", "1,000", "١٢", "١.5", "１", " 12", "inf", "+inf", "-Inf", "Infinity", "-INFINITY",
+    "+NaN", "nan", " NaN ", "-nan", "info", "banana", "a\nnan", "a\n5", "5\na", "9223372036854775807",
+    "9223372036854775808", "-9223372036854775808", "1e30", "99999999999999999999.0", "true", "false", "True", "\U0001d7cf",
+]
+
+
+def test_text_told_apart_before_a_cast_is_no_number(spark):
+    """What the looks before the casts leave out, the casts alone read as null."""
+    v = F.col("v")
+    exact = v.try_cast("decimal(38,18)")
+    long = F.coalesce(v.try_cast("bigint"), F.when(exact == F.floor(exact), exact.try_cast("bigint")),
+                      F.when(v == "true", 1).when(v == "false", 0).cast("bigint"))
+    double = F.when(~v.rlike("[dDxX]|(^|[^nN])[fF]"), v.try_cast("double"))
+    for row in values(spark, ODD_NUMBERS, "string", l=numbers.coerce_long("v"), d=numbers.parse_double("v"),
+                      long=long, double=double):
+        assert row.l == row.long and same(row.d, row.double), row
+
+
+def test_text_that_is_no_number_or_date_meets_no_cast(spark):
+    """A cast that fails costs an exception: every cast of text comes behind a look that such text doesn't pass."""
+    df = spark.createDataFrame([(t,) for t in ("", "n/a", "bad date", "x")], "v string")
+    v = F.col("v")
+    tried = df.select(numbers.coerce_long(v), numbers.coerce_double(v), dates.parse_date(v))
+    plan = tried._jdf.queryExecution().analyzed().toString()
+    assert all(before.endswith("THEN ") for before in plan.split("try_cast(")[:-1]), plan
+    assert "try_to_timestamp(CASE WHEN" in plan, plan
+    for row in df.select("v", v.rlike(numbers._LIKE_LONG), v.rlike(numbers._ANY_DIGIT),
+                         ~v.rlike(f"{numbers._JAVA_ONLY_NUMBER}|{numbers._NO_NUMBER}"), v.rlike("[0-9]")).collect():
+        assert not any(row[1:]), row
+
+
+def test_filled_templates_are_formatted_texts(spark):
+    df = spark.createDataFrame([(7, "a"), (-1, "%d"), (None, None)], "n bigint, t string")
+    n, t = F.col("n"), F.col("t")
+    for template, given in (("x%d:%s", (n, t)), ("%s%s", (t, t)), ("%d", (n,)), ("plain %d end", (n,))):
+        for row in df.select(filled(template, *given).alias("a"), F.format_string(template, *given).alias("b")).collect():
+            assert row.a == row.b
