@@ -412,3 +412,21 @@ def test_rows_that_are_held_are_not_tried_again(spark, tmp_path, monkeypatch):
     assert again["fact_shots"] == {("003", 21)}
     assert not again["fact_player_stats"]
     assert {r.game_event_id for r in st.scan_gold(store, "fact_shots").collect()} == {10, 20, 21}
+
+
+def test_stubs_of_games_need_no_order(spark, tmp_path):
+    """The earliest date of a game, no date before all others, without sorting the rows; and each stub once."""
+    box_rows = spark.createDataFrame(
+        [("g1", 5, "2020-01-02"), ("g1", 6, "2020-01-01"), ("g2", 5, None), ("g2", 7, "2020-01-03"), (None, 8, "2020-01-01")],
+        "GAME_ID string, PERSON_ID bigint, game_date string",
+    ).select("*", F.lit(1).cast("bigint").alias("TEAM_ID"), F.lit("f").alias("FIRST_NAME"), F.lit("l").alias("FAMILY_NAME"),
+             F.lit("T").alias("TEAM_TRICODE"), F.lit(0).alias("_manifest_pos"), F.lit(0).alias("_row_pos"),
+             ).withColumn("game_date", F.col("game_date").cast("date"))
+    games = gold_plan.dimension_stubs(box_rows)["games"]
+    found = {(r.game_id, r.season_id, str(r.game_date), str(r.since)) for r in games.collect()}
+    assert found == {("g1", 2019, "2020-01-01", "2020-01-01"), ("g2", None, "None", "None")}
+    assert "Window" not in games._jdf.queryExecution().executedPlan().toString()
+    gold = st.create_tables(spark, str(tmp_path / "gold"), fact_buckets=2)
+    st.append_absent(gold, "games", games, unique=True)
+    st.append_absent(gold, "games", games, unique=True)
+    assert sorted(r.game_id for r in st.scan_gold(gold, "games").collect()) == ["g1", "g2"]
