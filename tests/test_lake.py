@@ -430,3 +430,12 @@ def test_stubs_of_games_need_no_order(spark, tmp_path):
     st.append_absent(gold, "games", games, unique=True)
     st.append_absent(gold, "games", games, unique=True)
     assert sorted(r.game_id for r in st.scan_gold(gold, "games").collect()) == ["g1", "g2"]
+
+
+def test_silver_rows_are_sorted_by_game_first(spark):
+    """Nearly all rows differ in the game, so that few comparisons go on to the next column."""
+    docs = documents.parse_documents(
+        spark.createDataFrame([("g1", "{}")], "file_key string, doc string"), "doc", schemas.BOXSCORE_DOC)
+    entries = spark.sql("SELECT DATE'2020-01-01' AS game_date, 0L AS manifest_pos, 'g1' AS game_id")
+    built = silver.build_silver(entries, {"boxscores": documents.split_corrupt(docs)[0]})
+    assert "Sort [GAME_ID" in built.rows["boxscores"]._jdf.queryExecution().executedPlan().toString()
